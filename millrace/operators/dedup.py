@@ -136,7 +136,7 @@ def _comparable(value: Column, data_type: T.DataType) -> Column:
     return value
 
 
-def _order_columns(df: DataFrame, order_by: str | Sequence[str]) -> list[str]:
+def order_columns(df: DataFrame, order_by: str | Sequence[str]) -> list[str]:
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     if not names:
         raise ValueError("order_by is required: without an order the first of two duplicates is not defined")
@@ -156,7 +156,7 @@ def with_previous_max(
     `split_width` is both the row count that makes a key hot and the length, in units of the first order column, of
     the buckets a hot key is cut into. None keeps every key whole and saves the pass that counts rows per key.
     """
-    order = _order_columns(rows, order_by)
+    order = order_columns(rows, order_by)
     if split_width is None:
         window = Window.partitionBy(*keys).orderBy(*[column(c) for c in order]).rowsBetween(*EARLIER)
         return rows.withColumn(PREVIOUS, F.max(COUNTER).over(window))

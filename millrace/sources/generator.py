@@ -26,18 +26,13 @@ def event_numbers(spark: SparkSession, events_per_sec: float = 1.0) -> DataFrame
 
 def sample_events(numbers: DataFrame, sensors: int = 1, data_size: int = 10) -> DataFrame:
     """Each numbered tick once per sensor 0..n-1, with the tick's time also as text and a constant payload."""
-    if sensors < 1:
-        return numbers.select(
-            F.lit(0).alias("sensorId"), "eventNumber", "timestamp", F.lit("").alias("timestampStr"),
-            F.lit("").alias("data"),
-        ).where(F.lit(False))
     return numbers.select(
-        F.explode(F.sequence(F.lit(0), F.lit(sensors - 1))).alias("sensorId"),
+        F.explode(F.sequence(F.lit(0), F.lit(max(sensors, 1) - 1))).alias("sensorId"),
         "eventNumber",
         "timestamp",
         timestamp_text(F.date_trunc("millisecond", "timestamp")).alias("timestampStr"),
         constant_payload(data_size).alias("data"),
-    )
+    ).where(F.lit(sensors > 0))
 
 
 def sample_event_lines(events: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "100000",
             "spark.driver.memory": "6g",
         },
     )
