@@ -11,10 +11,10 @@ from millrace.sources import events as stream
 from millrace.streaming.follow import follow
 
 
-def publish(spark, path, texts, writer="w", batch_id=0, first=0, segments=1, routing_key=None):
+def publish(spark, path, texts, writer="w", batch_id=0, first=0, segments=1, routing_key=None, files=2):
     """Append texts in order; `routing_key` is a SQL expression over `line`."""
     rows = [(first + i, text) for i, text in enumerate(texts)]
-    df = spark.createDataFrame(rows, "seq bigint, line string").repartition(2)
+    df = spark.createDataFrame(rows, "seq bigint, line string").repartition(files)
     return append_events(
         df, path, writer, batch_id, F.col("line").cast("binary"), F.col("seq"),
         F.expr(routing_key) if routing_key else F.lit(""), segments,
@@ -145,9 +145,9 @@ def test_stateful_scenario(name, spark, tmp_path, partitions):
     keys, rows = SCENARIOS[name]
     path, checkpoint, output = (str(tmp_path / d) for d in ("s", "c", "o"))
     half = len(rows) // 2
-    publish(spark, path, [text for text, _ in rows[:half]])
+    publish(spark, path, [text for text, _ in rows[:half]], files=1)
     run(stateful_lines(spark, path, checkpoint, output, keys))
-    publish(spark, path, [text for text, _ in rows[half:]], batch_id=1)
+    publish(spark, path, [text for text, _ in rows[half:]], batch_id=1, files=1)
     run(stateful_lines(spark, path, checkpoint, output, keys))
     kept = sorted(row.line for row in spark.read.schema("line string").parquet(output).collect())
     assert kept == sorted(text for text, keep in rows if keep)
