@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NUMERIC_TYPE = r"^(BIGINT|DECIMAL|DOUBLE)"
 WIDE_INTEGER_TYPE = r"^DECIMAL\((19|2\d|3\d),0\)$"
 
 
-def member(document: Column, name: str) -> Column:
-    """A top-level member as a variant; SQL NULL when it is absent, a variant null when it is JSON null."""
-    if "'" not in name:
-        path = f"$['{name}']"
-    elif '"' not in name:
-        path = f'$["{name}"]'
-    else:
-        raise ValueError(f"a field name cannot hold both kinds of quote: {name!r}")
-    return F.try_variant_get(document, path, "variant")
+# What JSON itself allows; Spark's reader is more lenient by default.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+CORRUPT = "_corrupt_text"
+
+
+def members(text: Column, names: Sequence[str]) -> Column:
+    """The named top-level members of a JSON object as variants, beside the text itself if it is not an object.
+
+    A member that is absent is SQL NULL, one that is JSON null is a variant null. Other members are skipped unread.
+    """
+    fields = [T.StructField(name, T.VariantType()) for name in dict.fromkeys(names)]
+    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **STRICT})
 
 
 def canonical_key(value: Column, type_name: Column) -> Column:

@@ -26,6 +26,8 @@ COUNTER = "_counter"
 REASON = "_reason"
 BUCKET = "_bucket"
 PREVIOUS = "_previous"
+ROWS = "_rows"
+KEY_HASH = "_key_hash"
 
 BAD_JSON = "bad json"
 MISSING_KEY = "missing key"
@@ -76,34 +78,28 @@ def dedup_enabled(keys: str | Sequence[str], counter: str) -> bool:
 
 def key_json(df: DataFrame, keys: str | Sequence[str], counter: str, text: str = "line") -> Keyed:
     """Key and counter columns read from top-level members of a JSON text column."""
-    names = field_names(keys)
-    document = F.try_parse_json(column(text))
-    members = {f"m{i}": json_keys.member(F.col("_json"), name) for i, name in enumerate(names)}
-    members["counter"] = json_keys.member(F.col("_json"), counter.strip())
-    parsed = (
-        df.withColumn("_json", document)
-        .withColumn("_members", F.struct(*[value.alias(name) for name, value in members.items()],
-                                         F.col("_json").isNull().alias("bad")))
-    )
-    types = {name: F.schema_of_variant(F.col(f"_members.{name}")) for name in members}
-    parsed = parsed.withColumn("_types", F.struct(*[value.alias(name) for name, value in types.items()]))
-
-    key_columns = {
-        f"_key{i}": json_keys.canonical_key(F.col(f"_members.m{i}"), F.col(f"_types.m{i}"))
-        for i in range(len(names))
-    }
-    counter_column = json_keys.counter_value(F.col("_members.counter"), F.col("_types.counter"))
+    names, counter = field_names(keys), counter.strip()
+    wanted = json_keys.members(column(text), [*names, counter])
+    parsed = df.withColumn("_members", wanted)
+    member = {name: F.col("_members").getField(name) for name in [*names, counter]}
+    # By position, as names of struct fields would have to be quoted again.
+    types = {name: F.schema_of_variant(value) for name, value in member.items()}
+    parsed = parsed.withColumn("_types", F.array(*types.values()))
+    type_of = {name: F.col("_types")[i] for i, name in enumerate(types)}
+
+    key_columns = {f"_key{i}": json_keys.canonical_key(member[n], type_of[n]) for i, n in enumerate(names)}
+    counter_column = json_keys.counter_value(member[counter], type_of[counter])
     missing_key = F.lit(False)
-    for i in range(len(names)):
-        missing_key = missing_key | F.col(f"_members.m{i}").isNull()
+    for name in names:
+        missing_key = missing_key | member[name].isNull()
     reason = (
-        F.when(F.col("_members.bad"), BAD_JSON)
+        F.when(F.col("_members").isNull() | F.col("_members").getField(json_keys.CORRUPT).isNotNull(), BAD_JSON)
         .when(missing_key, MISSING_KEY)
-        .when(F.col("_members.counter").isNull(), MISSING_COUNTER)
+        .when(member[counter].isNull(), MISSING_COUNTER)
         .when(counter_column.isNull(), BAD_COUNTER)
     )
     computed = with_computed_once(parsed, {**key_columns, COUNTER: counter_column, REASON: reason})
-    return Keyed(computed.drop("_json", "_members", "_types"), tuple(key_columns), tuple(df.columns))
+    return Keyed(computed.drop("_members", "_types"), tuple(key_columns), tuple(df.columns))
 
 
 def key_records(df: DataFrame, keys: str | Sequence[str], counter: str) -> Keyed:
@@ -145,36 +141,39 @@ def order_columns(df: DataFrame, order_by: str | Sequence[str]) -> list[str]:
     return names
 
 
+def hot_keys(counts: DataFrame, split_width: int) -> DataFrame:
+    """The hot ones of the key hashes in `counts` (columns KEY_HASH and ROWS), at most MAX_HOT_KEYS of them."""
+    hot = counts.where(F.col(ROWS) > split_width).orderBy(F.col(ROWS).desc()).limit(MAX_HOT_KEYS)
+    return hot.select(F.col(KEY_HASH).alias("_hot"))
+
+
 def with_previous_max(
     rows: DataFrame,
     keys: Sequence[str],
     order_by: str | Sequence[str],
     split_width: int | None = SPLIT_WIDTH,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the greatest earlier counter of the same key, NULL for the first row of a key.
 
     `split_width` is both the row count that makes a key hot and the length, in units of the first order column, of
-    the buckets a hot key is cut into. None keeps every key whole and saves the pass that counts rows per key.
+    the buckets a hot key is cut into. None keeps every key whole. The hot keys are counted in a pass over the key
+    columns alone, unless the caller knows them.
     """
     order = order_columns(rows, order_by)
     if split_width is None:
         window = Window.partitionBy(*keys).orderBy(*[column(c) for c in order]).rowsBetween(*EARLIER)
         return rows.withColumn(PREVIOUS, F.max(COUNTER).over(window))
 
-    key_hash = F.xxhash64(*keys)
-    hot = (
-        rows.groupBy(key_hash.alias("_hash"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > split_width)
-        .orderBy(F.col("_rows").desc())
-        .limit(MAX_HOT_KEYS)
-        .select("_hash", F.lit(True).alias("_hot"))
-    )
+    if hot is None:
+        counts = rows.groupBy(F.xxhash64(*keys).alias(KEY_HASH)).agg(F.count(F.lit(1)).alias(ROWS))
+        hot = hot_keys(counts, split_width)
+    # Both uses of `bucketed` below need the same single column of `hot`, so its broadcast is computed once.
     bucketed = (
-        rows.withColumn("_hash", key_hash)
-        .join(F.broadcast(hot), "_hash", "left")
-        .withColumn(BUCKET, F.when(F.col("_hot"), _bucket(rows, order[0], split_width)))
-        .drop("_hash", "_hot")
+        rows.withColumn(KEY_HASH, F.xxhash64(*keys))
+        .join(F.broadcast(hot), F.col(KEY_HASH) == F.col("_hot"), "left")
+        .withColumn(BUCKET, F.when(F.col("_hot").isNotNull(), _bucket(rows, order[0], split_width)))
+        .drop(KEY_HASH, "_hot")
     )
     group = [*keys, BUCKET]
     in_bucket = Window.partitionBy(*group).orderBy(*[column(c) for c in order]).rowsBetween(*EARLIER)

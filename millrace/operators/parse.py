@@ -10,14 +10,13 @@ from pyspark.sql import types as T
 
 from millrace.functions.avro_schema import Decoder
 from millrace.functions.columns import column, with_computed_once
-
-CORRUPT = "_corrupt_text"
+from millrace.functions.json_keys import CORRUPT, STRICT
 
 
 def _checked(df: DataFrame, schema: Decoder, text: str) -> DataFrame:
     """Add the parsed record `_wire` and `_ok`, false for text that does not fit the schema."""
     wire = T.StructType([*schema.wire_type.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **STRICT}
     record = F.col("_wire")
     # The JSON reader reports wrong types but fills missing fields with NULL, so presence is checked as well.
     good = record.getField(CORRUPT).isNull() & schema.valid(record)

@@ -51,10 +51,7 @@ def _deduplicated(keyed: dedup.Keyed, options: Options, batch_id: int | None) ->
     width = options.integer("splitWidth", dedup.SPLIT_WIDTH)
     if batch_id is None:
         return dedup.keep_ascending(keyed, ORDER, width)
-    earlier = marks.marks_before(keyed.rows.sparkSession, marks_folder(options), batch_id)
-    kept = marks.keep_ascending_after(keyed, earlier, ORDER, width)
-    marks.write_marks(keyed, earlier, marks_folder(options), batch_id)
-    return kept
+    return marks.keep_ascending_batch(keyed, marks_folder(options), batch_id, ORDER, width)
 
 
 def checkpoint_folder(options: Options) -> str:
@@ -202,16 +199,22 @@ def stream_to_stream(spark: SparkSession, options: Options) -> StreamingQuery:
     routing_key = options.get("fixedRoutingKey")
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        source_segments = events.agg(F.max("segment").alias("m")).first().m or 0
+        bounds = events.agg(
+            F.min("offset").alias("low"), F.max("offset").alias("high"), F.max("segment").alias("segment")
+        ).first()
+        source_segments = (bounds.segment or 0) + 1
+        # One order for events of all source segments; within a segment it is the order of their offsets.
+        first, last = (bounds.low or 0) * source_segments, ((bounds.high or 0) + 1) * source_segments - 1
         append_events(
             copied_events(events, options, batch_id),
             target.path,
             writer,
             batch_id,
             event=F.col(EVENT),
-            order=F.col(OFFSET) * (source_segments + 1) + F.col(SEGMENT),
+            order=F.col(OFFSET) * source_segments + F.col(SEGMENT),
             routing_key=F.lit(routing_key),
             segments=target.segments,
+            span=(first, last),
         )
 
     return _follow(spark, options, "stream-to-stream", handle, COPY_INTERVAL_MS)

@@ -38,11 +38,14 @@ def append_events(
     order: Column,
     routing_key: Column,
     segments: int = 1,
+    span: tuple[int, int] | None = None,
 ) -> bool:
     """Append one batch to a stream; False if this batch of this writer is there already.
 
     `order` is a bigint that is unique within the batch and rises in the order the events are to have. Offsets are the
     order values shifted behind the current end, so they rise without sorting or numbering the rows; gaps stay gaps.
+    `span` tells the first and last value that `order` can have, where that is known without running `df`.
+
     One writer at a time appends to a stream.
     """
     spark = df.sparkSession
@@ -53,9 +56,12 @@ def append_events(
         return False
     base = _next_offset(spark, path, writer, batch_id)
     rows = df.select(order.cast("bigint").alias("_order"), routing_key.alias("routing_key"), event.alias("event"))
-    span = rows.agg(F.min("_order").alias("first"), F.max("_order").alias("last")).first()
-    shift = base - (span.first or 0)
-    following = base if span.first is None else base + span.last - span.first + 1
+    if span is None:
+        ends = rows.agg(F.min("_order").alias("first"), F.max("_order").alias("last")).first()
+        span = (ends.first, ends.last) if ends.first is not None else (0, -1)
+    first, last = span
+    following = base + last - first + 1
+    shift = base - first
     rows.select(
         segment_of(F.col("routing_key"), segments).alias("segment"),
         (F.col("_order") + F.lit(shift)).alias("offset"),

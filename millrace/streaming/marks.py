@@ -1,7 +1,7 @@
 """Dedup across micro-batches: the greatest counter of every key seen so far, kept as a table.
 
 Each batch adds its per-key maxima as a new folder, `<marks>/<batch>`; every `SNAPSHOT_EVERY`-th folder holds all keys
-instead. The marks enter the next batch as rows that come before all its events, so the batch operator with its
+instead. The folder also tells how many rows each key has in the batch, which shows the hot keys. The marks enter the next batch as rows that come before all its events, so the batch operator with its
 hot-key handling decides, and one hot key never has to fit one task. Folders of earlier batches are never changed,
 hence a batch that runs again sees the same marks and gives the same result.
 """
@@ -13,7 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.dedup import COUNTER, SPLIT_WIDTH, Keyed, ascends, with_previous_max
+from millrace.operators.dedup import (
+    COUNTER,
+    KEY_HASH,
+    ROWS,
+    SPLIT_WIDTH,
+    Keyed,
+    ascends,
+    hot_keys,
+    with_previous_max,
+)
 
 SNAPSHOT_EVERY = 20
 _IS_MARK = "_is_mark"
@@ -33,31 +42,44 @@ def marks_before(
     return spark.read.parquet(*[_folder(marks, b) for b in range(newest_snapshot, batch_id)])
 
 
-def keep_ascending_after(
-    keyed: Keyed,
-    earlier: DataFrame | None,
-    order_by: str | Sequence[str],
-    split_width: int | None = SPLIT_WIDTH,
-) -> DataFrame:
-    """The usable rows of a batch whose counter also exceeds the marks of earlier batches."""
-    rows = keyed.usable.withColumn(_IS_MARK, F.lit(False))
-    if earlier is not None:
-        rows = rows.unionByName(earlier.withColumn(_IS_MARK, F.lit(True)), allowMissingColumns=True)
-    compared = with_previous_max(rows, keyed.keys, order_by, split_width)
-    return compared.where(~F.col(_IS_MARK) & ascends()).select(*keyed.payload_columns)
-
-
 def write_marks(
     keyed: Keyed,
     earlier: DataFrame | None,
     marks: str,
     batch_id: int,
     snapshot_every: int = SNAPSHOT_EVERY,
-) -> None:
-    """Record the maxima of this batch, or of everything when a snapshot is due. Maxima combine before the shuffle."""
-    columns = [*keyed.keys, COUNTER]
-    rows = keyed.usable.select(*columns)
+) -> DataFrame:
+    """Record the maxima of this batch, or of everything when a snapshot is due, and return them as written.
+
+    Maxima and counts combine before the shuffle, so a hot key costs no more than another.
+    """
+    rows = keyed.usable.select(*keyed.keys, COUNTER, F.lit(1).alias(ROWS))
     if earlier is not None and batch_id % snapshot_every == 0:
-        rows = rows.unionByName(earlier.select(*columns))
-    greatest = rows.groupBy(*keyed.keys).agg(F.max(COUNTER).alias(COUNTER))
+        rows = rows.unionByName(earlier.select(*keyed.keys, COUNTER, F.lit(0).alias(ROWS)))
+    greatest = rows.groupBy(*keyed.keys).agg(F.max(COUNTER).alias(COUNTER), F.sum(ROWS).alias(ROWS))
     greatest.write.mode("overwrite").parquet(_folder(marks, batch_id))
+    return keyed.rows.sparkSession.read.schema(greatest.schema).parquet(_folder(marks, batch_id))
+
+
+def keep_ascending_batch(
+    keyed: Keyed,
+    marks: str,
+    batch_id: int,
+    order_by: str | Sequence[str],
+    split_width: int = SPLIT_WIDTH,
+    snapshot_every: int | None = None,
+) -> DataFrame:
+    """The usable rows of a batch whose counter rises over all rows of this and the earlier batches.
+
+    The marks of this batch are written at once; calling again for the same batch replaces them.
+    """
+    every = snapshot_every or SNAPSHOT_EVERY
+    earlier = marks_before(keyed.rows.sparkSession, marks, batch_id, every)
+    written = write_marks(keyed, earlier, marks, batch_id, every)
+    rows = keyed.usable.withColumn(_IS_MARK, F.lit(False))
+    if earlier is not None:
+        carried = earlier.select(*keyed.keys, COUNTER, F.lit(True).alias(_IS_MARK))
+        rows = rows.unionByName(carried, allowMissingColumns=True)
+    hot = hot_keys(written.select(F.xxhash64(*keyed.keys).alias(KEY_HASH), ROWS), split_width)
+    compared = with_previous_max(rows, keyed.keys, order_by, split_width, hot)
+    return compared.where(~F.col(_IS_MARK) & ascends()).select(*keyed.payload_columns)
