@@ -48,4 +48,5 @@ def canonical_key(value: Column, type_name: Column) -> Column:
 
 def counter_value(value: Column, type_name: Column) -> Column:
     """The counter as a bigint; NULL when it is not a number or does not fit. Fractions are cut off."""
-    return F.when(type_name.rlike(NUMERIC_TYPE), F.try_variant_get(value, "$", "bigint"))
+    numeric = (type_name == "BIGINT") | type_name.rlike(NUMERIC_TYPE)
+    return F.when(numeric, F.try_variant_get(value, "$", "bigint"))

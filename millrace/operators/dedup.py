@@ -86,9 +86,9 @@ def key_json(df: DataFrame, keys: str | Sequence[str], counter: str, text: str =
     types = {name: F.schema_of_variant(value) for name, value in member.items()}
     parsed = parsed.withColumn("_types", F.array(*types.values()))
     type_of = {name: F.col("_types")[i] for i, name in enumerate(types)}
+    parsed = parsed.withColumn("_value", json_keys.counter_value(member[counter], type_of[counter]))
 
     key_columns = {f"_key{i}": json_keys.canonical_key(member[n], type_of[n]) for i, n in enumerate(names)}
-    counter_column = json_keys.counter_value(member[counter], type_of[counter])
     missing_key = F.lit(False)
     for name in names:
         missing_key = missing_key | member[name].isNull()
@@ -96,10 +96,10 @@ def key_json(df: DataFrame, keys: str | Sequence[str], counter: str, text: str =
         F.when(F.col("_members").isNull() | F.col("_members").getField(json_keys.CORRUPT).isNotNull(), BAD_JSON)
         .when(missing_key, MISSING_KEY)
         .when(member[counter].isNull(), MISSING_COUNTER)
-        .when(counter_column.isNull(), BAD_COUNTER)
+        .when(F.col("_value").isNull(), BAD_COUNTER)
     )
-    computed = with_computed_once(parsed, {**key_columns, COUNTER: counter_column, REASON: reason})
-    return Keyed(computed.drop("_members", "_types"), tuple(key_columns), tuple(df.columns))
+    computed = with_computed_once(parsed, {**key_columns, COUNTER: F.col("_value"), REASON: reason})
+    return Keyed(computed.drop("_members", "_types", "_value"), tuple(key_columns), tuple(df.columns))
 
 
 def key_records(df: DataFrame, keys: str | Sequence[str], counter: str) -> Keyed:

@@ -82,7 +82,8 @@ def published(spark: SparkSession, df: DataFrame, order: str, routing_key: str =
         low, high = size * part // appends, size * (part + 1) // appends
         rows = df.where((F.col(order) >= low) & (F.col(order) < high))
         append_events(
-            rows, path, "tables", part, render.utf8_bytes(F.col("line")), F.col(order), F.expr(routing_key), SEGMENTS
+            rows, path, "tables", part, render.utf8_bytes(F.col("line")), F.col(order), F.expr(routing_key), SEGMENTS,
+            span=(low, max(low, high - 1)),
         )
     return path
 

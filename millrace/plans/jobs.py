@@ -5,10 +5,12 @@ Every job keeps its progress in `checkpointLocation` and may be stopped and star
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +19,7 @@ from millrace.functions.columns import column
 from millrace.functions.render import csv_line, utf8_bytes
 from millrace.operators import dedup
 from millrace.operators.flatten import flatten
-from millrace.operators.parse import parse_records
+from millrace.operators.parse import malformed_lines, parse_records
 from millrace.sinks.console import print_lines, print_records
 from millrace.sinks.events import append_events
 from millrace.sinks.files import write_batch
@@ -29,6 +31,8 @@ from millrace.streaming.follow import follow
 FILE_INTERVAL_MS = 60_000
 COPY_INTERVAL_MS = 10_000
 
+log = logging.getLogger("millrace")
+
 # Stream columns under names that no record field has.
 SEGMENT, OFFSET, EVENT = "_segment", "_offset", "_event"
 ORDER = (OFFSET, SEGMENT)
@@ -46,12 +50,67 @@ def _text_lines(events: DataFrame) -> DataFrame:
     )
 
 
-def _deduplicated(keyed: dedup.Keyed, options: Options, batch_id: int | None) -> DataFrame:
-    """Rows that rise over all earlier ones: of this DataFrame alone, or also of the batches before it."""
-    width = options.integer("splitWidth", dedup.SPLIT_WIDTH)
-    if batch_id is None:
-        return dedup.keep_ascending(keyed, ORDER, width)
-    return marks.keep_ascending_batch(keyed, marks_folder(options), batch_id, ORDER, width)
+class Batch:
+    """One micro-batch of a job: its number, and what to log and keep of the rows it rejects."""
+
+    def __init__(self, options: Options, batch_id: int):
+        self.options = options
+        self.batch_id = batch_id
+        self.seen: Observation | None = None
+        self.kept: Observation | None = None
+        self.rejected: list[DataFrame] = []
+
+    def deduplicate(self, keyed: dedup.Keyed) -> DataFrame:
+        """Rows that rise over all earlier ones of this and the earlier batches."""
+        self.seen, self.kept = Observation(), Observation()
+        reasons = (dedup.BAD_JSON, dedup.MISSING_KEY, dedup.MISSING_COUNTER, dedup.BAD_COUNTER)
+        counts = [F.count_if(F.col(dedup.REASON) == reason).alias(reason) for reason in reasons]
+        observed = keyed.rows.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+        compared = marks.compare_batch(
+            keyed, marks_folder(self.options), self.batch_id, ORDER, _split_width(self.options), counted=observed
+        )
+        if self.options.get("rejectsOutput"):
+            self.reject(marks.rejects(keyed, compared))
+        return marks.kept(keyed, compared).observe(self.kept, F.count(F.lit(1)).alias("rows"))
+
+    def reject(self, rows: DataFrame) -> None:
+        """Remember rows, with their `reason`, for the rejects folder."""
+        fields = [c for c in rows.columns if c not in (SEGMENT, OFFSET, "reason")]
+        event = F.to_json(F.struct(*[column(c) for c in fields])) if fields != ["line"] else F.col("line")
+        self.rejected.append(rows.select(SEGMENT, OFFSET, "reason", event.alias("event")))
+
+    def finish(self) -> None:
+        """After the output is written: write the rejects if they are wanted, and log the counts."""
+        if self.options.get("rejectsOutput"):
+            for number, rows in enumerate(self.rejected):
+                folder = f"{self.options.get('rejectsOutput').rstrip('/')}/batch_id={self.batch_id}/part={number}"
+                rows.write.mode("overwrite").json(folder)
+        if self.seen is not None:
+            seen = _observed(self.seen)
+            events, kept = seen.pop("rows", 0), _observed(self.kept).get("rows", 0)
+            unusable = {reason: n for reason, n in seen.items() if n}
+            log.warning(
+                "batch %s: %s events, %s kept, %s duplicates, unusable: %s",
+                self.batch_id, events, kept, events - kept - sum(unusable.values()), unusable or "none",
+            )
+
+
+def _observed(observation: Observation) -> dict[str, int]:
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        # Spark cuts the observation out of a plan it finds to be empty while running it.
+        return {}
+
+
+def _split_width(options: Options) -> int:
+    return options.integer("splitWidth", dedup.SPLIT_WIDTH)
+
+
+def _deduplicated(keyed: dedup.Keyed, options: Options, batch: Batch | None) -> DataFrame:
+    if batch is None:
+        return dedup.keep_ascending(keyed, ORDER, _split_width(options))
+    return batch.deduplicate(keyed)
 
 
 def checkpoint_folder(options: Options) -> str:
@@ -67,24 +126,27 @@ def marks_folder(options: Options) -> str:
     return f"{checkpoint_folder(options)}/marks"
 
 
-def file_lines(events: DataFrame, options: Options, batch_id: int | None = None) -> DataFrame:
+def file_lines(events: DataFrame, options: Options, batch: Batch | None = None) -> DataFrame:
     """Event text as it is, without duplicates if keys and counter are set."""
     lines = _text_lines(events)
     if dedup.dedup_enabled(options.keys, options.counter):
-        lines = _deduplicated(dedup.key_json(lines, options.keys, options.counter), options, batch_id)
+        lines = _deduplicated(dedup.key_json(lines, options.keys, options.counter), options, batch)
     return lines.select("line")
 
 
 def records(
-    events: DataFrame, options: Options, read_file: Callable[[str], str], batch_id: int | None = None
+    events: DataFrame, options: Options, read_file: Callable[[str], str], batch: Batch | None = None
 ) -> DataFrame:
     """Events parsed by the Avro schema, deduplicated and flattened as the options say."""
     schema = options.avro_schema(read_file)
     dedup_on = dedup.dedup_enabled(options.keys, options.counter)
     on_error = options.get("onError") or ("drop" if dedup_on else "fail")
-    parsed = parse_records(_text_lines(events), schema, "line", on_error, keep=(SEGMENT, OFFSET))
+    lines = _text_lines(events)
+    if batch and on_error == "drop" and options.get("rejectsOutput"):
+        batch.reject(malformed_lines(lines, schema).withColumn("reason", F.lit("does not fit the schema")))
+    parsed = parse_records(lines, schema, "line", on_error, keep=(SEGMENT, OFFSET))
     if dedup_on:
-        parsed = _deduplicated(dedup.key_records(parsed, options.keys, options.counter), options, batch_id)
+        parsed = _deduplicated(dedup.key_records(parsed, options.keys, options.counter), options, batch)
     parsed = parsed.drop(SEGMENT, OFFSET)
     if options.flag("flatten"):
         parsed = flatten(parsed, options.get("onMismatch", "fail"))
@@ -96,11 +158,11 @@ def csv_lines(rows: DataFrame, options: Options) -> DataFrame:
     return rows.select(csv_line(rows, null_value, options.flag("quoteCsv")).alias("line"))
 
 
-def copied_events(events: DataFrame, options: Options, batch_id: int | None = None) -> DataFrame:
+def copied_events(events: DataFrame, options: Options, batch: Batch | None = None) -> DataFrame:
     """Events as bytes, without duplicates if keys and counter are set."""
     rows = _renamed(events)
     if dedup.dedup_enabled(options.keys, options.counter):
-        rows = _deduplicated(dedup.key_bytes(rows, options.keys, options.counter, EVENT), options, batch_id)
+        rows = _deduplicated(dedup.key_bytes(rows, options.keys, options.counter, EVENT), options, batch)
     return rows
 
 
@@ -162,7 +224,9 @@ def stream_to_file(spark: SparkSession, options: Options) -> StreamingQuery:
     output = options.required("output")
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        write_batch(file_lines(events, options, batch_id), output, batch_id, bucket)
+        batch = Batch(options, batch_id)
+        write_batch(file_lines(events, options, batch), output, batch_id, bucket)
+        batch.finish()
 
     return _follow(spark, options, "stream-to-file", handle, FILE_INTERVAL_MS)
 
@@ -172,10 +236,12 @@ def stream_to_csv_file(spark: SparkSession, options: Options) -> StreamingQuery:
     options.avro_schema(read_file)
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        lines = csv_lines(records(events, options, read_file, batch_id), options)
+        batch = Batch(options, batch_id)
+        lines = csv_lines(records(events, options, read_file, batch), options)
         if options.flag("logOutputRecords"):
             print_lines(lines, prefix="output")
         write_batch(lines, output, batch_id, bucket)
+        batch.finish()
 
     return _follow(spark, options, "stream-to-csv-file", handle, FILE_INTERVAL_MS)
 
@@ -185,10 +251,12 @@ def stream_to_parquet_file(spark: SparkSession, options: Options) -> StreamingQu
     options.avro_schema(read_file)
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        rows = records(events, options, read_file, batch_id)
+        batch = Batch(options, batch_id)
+        rows = records(events, options, read_file, batch)
         if options.flag("logOutputRecords"):
             print_records(rows)
         write_batch(rows, output, batch_id, bucket, "parquet")
+        batch.finish()
 
     return _follow(spark, options, "stream-to-parquet-file", handle, FILE_INTERVAL_MS)
 
@@ -205,8 +273,9 @@ def stream_to_stream(spark: SparkSession, options: Options) -> StreamingQuery:
         source_segments = (bounds.segment or 0) + 1
         # One order for events of all source segments; within a segment it is the order of their offsets.
         first, last = (bounds.low or 0) * source_segments, ((bounds.high or 0) + 1) * source_segments - 1
+        batch = Batch(options, batch_id)
         append_events(
-            copied_events(events, options, batch_id),
+            copied_events(events, options, batch),
             target.path,
             writer,
             batch_id,
@@ -216,6 +285,7 @@ def stream_to_stream(spark: SparkSession, options: Options) -> StreamingQuery:
             segments=target.segments,
             span=(first, last),
         )
+        batch.finish()
 
     return _follow(spark, options, "stream-to-stream", handle, COPY_INTERVAL_MS)
 

@@ -9,13 +9,16 @@ hence a batch that runs again sees the same marks and gives the same result.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import (
     COUNTER,
+    DUPLICATE,
     KEY_HASH,
+    REASON,
     ROWS,
     SPLIT_WIDTH,
     Keyed,
@@ -61,25 +64,38 @@ def write_marks(
     return keyed.rows.sparkSession.read.schema(greatest.schema).parquet(_folder(marks, batch_id))
 
 
-def keep_ascending_batch(
+def compare_batch(
     keyed: Keyed,
     marks: str,
     batch_id: int,
     order_by: str | Sequence[str],
     split_width: int = SPLIT_WIDTH,
     snapshot_every: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """The usable rows of a batch whose counter rises over all rows of this and the earlier batches.
+    """The usable rows of a batch with the greatest counter before each, over this and the earlier batches.
 
-    The marks of this batch are written at once; calling again for the same batch replaces them.
+    The marks of this batch are written at once; calling again for the same batch replaces them. `counted` may stand
+    in for the keyed rows there: the same rows, with an observation attached.
     """
     every = snapshot_every or SNAPSHOT_EVERY
     earlier = marks_before(keyed.rows.sparkSession, marks, batch_id, every)
-    written = write_marks(keyed, earlier, marks, batch_id, every)
+    source = keyed if counted is None else replace(keyed, rows=counted)
+    written = write_marks(source, earlier, marks, batch_id, every)
     rows = keyed.usable.withColumn(_IS_MARK, F.lit(False))
     if earlier is not None:
         carried = earlier.select(*keyed.keys, COUNTER, F.lit(True).alias(_IS_MARK))
         rows = rows.unionByName(carried, allowMissingColumns=True)
     hot = hot_keys(written.select(F.xxhash64(*keyed.keys).alias(KEY_HASH), ROWS), split_width)
-    compared = with_previous_max(rows, keyed.keys, order_by, split_width, hot)
-    return compared.where(~F.col(_IS_MARK) & ascends()).select(*keyed.payload_columns)
+    return with_previous_max(rows, keyed.keys, order_by, split_width, hot).where(~F.col(_IS_MARK))
+
+
+def kept(keyed: Keyed, compared: DataFrame) -> DataFrame:
+    return compared.where(ascends()).select(*keyed.payload_columns)
+
+
+def rejects(keyed: Keyed, compared: DataFrame) -> DataFrame:
+    """The duplicates of a compared batch and its unusable rows, with the reason of each."""
+    duplicates = compared.where(~ascends()).select(*keyed.payload_columns, F.lit(DUPLICATE).alias("reason"))
+    unusable = keyed.unusable.select(*keyed.payload_columns, F.col(REASON).alias("reason"))
+    return duplicates.unionByName(unusable)

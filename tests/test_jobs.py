@@ -77,6 +77,33 @@ def test_file_job_dedup_across_batches_and_restarts(name, width, spark, tmp_path
     assert kept == sorted(text for text, keep in rows if keep)
 
 
+def test_rejects_are_logged_and_written(spark, tmp_path, caplog):
+    good = [sensor_line(0, 1), sensor_line(0, 2), sensor_line(1, 1)]
+    for batch, texts in enumerate([[*good, good[1], "bad"], [good[0], '{"sensorId": 0}', sensor_line(0, 3)]]):
+        publish(spark, str(tmp_path / "in"), texts, batch_id=batch)
+    monitored = options(
+        tmp_path, keyFieldNames="sensorId", counterFieldName="eventNumber", rejectsOutput=str(tmp_path / "rejects"),
+    )
+    run(jobs.stream_to_file(spark, monitored))
+    out = sorted(row.value for row in spark.read.text(str(tmp_path / "out")).collect())
+    assert out == sorted([*good, sensor_line(0, 3)])
+    rejects = spark.read.schema("reason string, event string").json(str(tmp_path / "rejects"))
+    assert sorted((row.reason, row.event) for row in rejects.select("reason", "event").collect()) == sorted([
+        ("duplicate", good[1]), ("bad json", "bad"), ("duplicate", good[0]), ("missing counter", '{"sensorId": 0}'),
+    ])
+    assert "8 events, 4 kept, 2 duplicates, unusable: {'bad json': 1, 'missing counter': 1}" in caplog.text
+
+    typed = options(
+        tmp_path, output=str(tmp_path / "rows"), avroSchema=base64.b64encode(SENSOR.encode()).decode(),
+        keyFieldNames="sensorId", counterFieldName="eventNumber", rejectsOutput=str(tmp_path / "typed"),
+    )
+    run(jobs.stream_to_parquet_file(spark, typed))
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 4
+    rejects = spark.read.schema("reason string, event string").json(str(tmp_path / "typed"))
+    counts = {row.reason: row["count"] for row in rejects.groupBy("reason").count().collect()}
+    assert counts == {"duplicate": 2, "does not fit the schema": 2}
+
+
 def test_end_at_tail_is_fixed_at_first_start(spark, tmp_path):
     path = str(tmp_path / "in")
     publish(spark, path, ["a", "b"])
