@@ -20,6 +20,7 @@ from millrace.functions.render import csv_line, utf8_bytes
 from millrace.operators import dedup
 from millrace.operators.flatten import flatten
 from millrace.operators.parse import malformed_lines, parse_records
+from millrace.session import scratch_folder
 from millrace.sinks.console import print_lines, print_records
 from millrace.sinks.events import append_events
 from millrace.sinks.files import write_batch
@@ -53,9 +54,10 @@ def _text_lines(events: DataFrame) -> DataFrame:
 class Batch:
     """One micro-batch of a job: its number, and what to log and keep of the rows it rejects."""
 
-    def __init__(self, options: Options, batch_id: int):
+    def __init__(self, options: Options, writer: str, batch_id: int):
         self.options = options
         self.batch_id = batch_id
+        self.name = f"{writer}-{batch_id}"
         self.seen: Observation | None = None
         self.kept: Observation | None = None
         self.rejected: list[DataFrame] = []
@@ -83,7 +85,7 @@ class Batch:
         """After the output is written: write the rejects if they are wanted, and log the counts."""
         if self.options.get("rejectsOutput"):
             for number, rows in enumerate(self.rejected):
-                folder = f"{self.options.get('rejectsOutput').rstrip('/')}/batch_id={self.batch_id}/part={number}"
+                folder = f"{self.options.get('rejectsOutput').rstrip('/')}/batch={self.name}/part={number}"
                 rows.write.mode("overwrite").json(folder)
         if self.seen is not None:
             seen = _observed(self.seen)
@@ -214,6 +216,9 @@ def _begin(spark: SparkSession, options: Options) -> tuple[str, stream.Cut | Non
 
 
 def stream_to_console(spark: SparkSession, options: Options) -> StreamingQuery:
+    if not options.get("checkpointLocation"):
+        options = Options({**options.values, "checkpointLocation": scratch_folder(spark, "console")})
+
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
         print_lines(_text_lines(events))
 
@@ -222,10 +227,11 @@ def stream_to_console(spark: SparkSession, options: Options) -> StreamingQuery:
 
 def stream_to_file(spark: SparkSession, options: Options) -> StreamingQuery:
     output = options.required("output")
+    writer, _, _ = _begin(spark, options)
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        batch = Batch(options, batch_id)
-        write_batch(file_lines(events, options, batch), output, batch_id, bucket)
+        batch = Batch(options, writer, batch_id)
+        write_batch(file_lines(events, options, batch), output, batch.name, bucket)
         batch.finish()
 
     return _follow(spark, options, "stream-to-file", handle, FILE_INTERVAL_MS)
@@ -234,13 +240,14 @@ def stream_to_file(spark: SparkSession, options: Options) -> StreamingQuery:
 def stream_to_csv_file(spark: SparkSession, options: Options) -> StreamingQuery:
     output, read_file = options.required("output"), _text_reader(spark)
     options.avro_schema(read_file)
+    writer, _, _ = _begin(spark, options)
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        batch = Batch(options, batch_id)
+        batch = Batch(options, writer, batch_id)
         lines = csv_lines(records(events, options, read_file, batch), options)
         if options.flag("logOutputRecords"):
             print_lines(lines, prefix="output")
-        write_batch(lines, output, batch_id, bucket)
+        write_batch(lines, output, batch.name, bucket)
         batch.finish()
 
     return _follow(spark, options, "stream-to-csv-file", handle, FILE_INTERVAL_MS)
@@ -249,13 +256,14 @@ def stream_to_csv_file(spark: SparkSession, options: Options) -> StreamingQuery:
 def stream_to_parquet_file(spark: SparkSession, options: Options) -> StreamingQuery:
     output, read_file = options.required("output"), _text_reader(spark)
     options.avro_schema(read_file)
+    writer, _, _ = _begin(spark, options)
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        batch = Batch(options, batch_id)
+        batch = Batch(options, writer, batch_id)
         rows = records(events, options, read_file, batch)
         if options.flag("logOutputRecords"):
             print_records(rows)
-        write_batch(rows, output, batch_id, bucket, "parquet")
+        write_batch(rows, output, batch.name, bucket, "parquet")
         batch.finish()
 
     return _follow(spark, options, "stream-to-parquet-file", handle, FILE_INTERVAL_MS)
@@ -273,7 +281,7 @@ def stream_to_stream(spark: SparkSession, options: Options) -> StreamingQuery:
         source_segments = (bounds.segment or 0) + 1
         # One order for events of all source segments; within a segment it is the order of their offsets.
         first, last = (bounds.low or 0) * source_segments, ((bounds.high or 0) + 1) * source_segments - 1
-        batch = Batch(options, batch_id)
+        batch = Batch(options, writer, batch_id)
         append_events(
             copied_events(events, options, batch),
             target.path,

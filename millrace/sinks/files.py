@@ -1,9 +1,9 @@
 """Text, CSV and Parquet files in hourly directories, one set of files per batch.
 
-    <output>/bucket=2020-05-10--18/batch_id=42/part-...
+    <output>/bucket=2020-05-10--18/batch=<writer>-42/part-...
 
-A batch that runs again after a failure has the same id and the same bucket, so overwriting its directory leaves each
-event in the output exactly once.
+A batch that runs again after a failure has the same name and the same bucket, so overwriting its directory leaves each
+event in the output exactly once. The writer in the name keeps jobs that share an output apart.
 """
 
 from __future__ import annotations
@@ -19,16 +19,16 @@ def _writer(df: DataFrame, file_format: str):
     return writer.option("compression", "snappy") if file_format == "parquet" else writer
 
 
-def write_batch(df: DataFrame, output: str, batch_id: int, bucket: str, file_format: str = "text") -> None:
+def write_batch(df: DataFrame, output: str, batch: str, bucket: str, file_format: str = "text") -> None:
     """Write one batch, all of it in one hourly directory. Text output takes a single string column."""
-    folder = f"{output.rstrip('/')}/bucket={bucket}/batch_id={batch_id}"
+    folder = f"{output.rstrip('/')}/bucket={bucket}/batch={batch}"
     _writer(df, file_format).format(file_format).save(folder)
 
 
 def write_bucketed(
-    df: DataFrame, output: str, batch_id: int, bucket_time: Column, file_format: str = "text"
+    df: DataFrame, output: str, batch: str, bucket_time: Column, file_format: str = "text"
 ) -> None:
     """Write one batch whose rows choose their hourly directory by `bucket_time`, a time that belongs to the row."""
-    rows = df.withColumns({"bucket": hour_bucket(bucket_time), "batch_id": F.lit(batch_id)})
+    rows = df.withColumns({"bucket": hour_bucket(bucket_time), "batch": F.lit(batch)})
     writer = _writer(rows, file_format).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("bucket", "batch_id").format(file_format).save(output)
+    writer.partitionBy("bucket", "batch").format(file_format).save(output)

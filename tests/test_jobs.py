@@ -56,7 +56,7 @@ def test_file_job_copies_everything_without_keys(spark, tmp_path):
     run(jobs.stream_to_file(spark, options(tmp_path)))
     out = spark.read.text(str(tmp_path / "out"))
     assert sorted(row.value for row in out.collect()) == ["line1,abc", "line1,abc", "not json"]
-    assert out.columns == ["value", "bucket", "batch_id"]
+    assert out.columns == ["value", "bucket", "batch"]
 
 
 @pytest.mark.parametrize("name", ["several_types", "rewind_two_keys", "counter_forms"])
@@ -147,7 +147,7 @@ def test_parquet_job_flattens(spark, tmp_path):
     assert sorted(map(tuple, out.collect())) == [
         ("a", 1, "t1", 0.5), ("a", 1, "u1", 1.0), ("a", 2, "t2", 0.5), ("a", 2, "u2", 1.0),
     ]
-    files = [p.name for p in (tmp_path / "out").glob("bucket=*/batch_id=*/part-*")]
+    files = [p.name for p in (tmp_path / "out").glob("bucket=*/batch=*/part-*")]
     assert files and all(name.endswith(".snappy.parquet") for name in files)
 
 
@@ -183,7 +183,7 @@ def test_console_job(spark, tmp_path, monkeypatch):
     printed = []
     monkeypatch.setattr(jobs, "print_lines", lambda df: printed.extend(row.line for row in df.collect()))
     publish(spark, str(tmp_path / "in"), ["hello", "hello", "not json"])
-    run(jobs.stream_to_console(spark, options(tmp_path)))
+    run(jobs.stream_to_console(spark, Options({"input-stream": str(tmp_path / "in"), "endAtTail": "true"})))
     assert sorted(printed) == ["hello", "hello", "not json"]
 
 

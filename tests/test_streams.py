@@ -176,6 +176,6 @@ def test_bucketed_files(spark, tmp_path):
     )
     output = str(tmp_path / "o")
     for _ in range(2):
-        write_bucketed(df.drop("x"), output, 3, F.col("ts"), "parquet")
-    rows = spark.read.parquet(output).select("line", F.col("bucket").cast("string"), "batch_id").collect()
-    assert sorted(map(tuple, rows)) == [("a", "2020-05-10--18", 3), ("b", "2020-05-10--19", 3)]
+        write_bucketed(df, output, "w-3", F.col("ts"), "parquet")
+    rows = spark.read.parquet(output).select("line", F.col("bucket").cast("string"), "batch").collect()
+    assert sorted(map(tuple, rows)) == [("a", "2020-05-10--18", "w-3"), ("b", "2020-05-10--19", "w-3")]
