@@ -353,7 +353,8 @@ def route_events(spark, folder):
 
 def generate_events(spark, folder):
     """Generator events for every tick in the events table, three sensors each."""
-    ticks = table(spark, folder, "events").select(F.col("event_id").alias("eventNumber"), F.col("ts").alias("timestamp"))
+    rows = table(spark, folder, "events")
+    ticks = rows.select(F.col("event_id").alias("eventNumber"), F.col("ts").alias("timestamp"))
     return sample_event_lines(sample_events(ticks, sensors=3, data_size=10))
 
 

@@ -106,7 +106,10 @@ def _observed(observation: Observation) -> dict[str, int]:
 
 
 def _split_width(options: Options) -> int:
-    return options.integer("splitWidth", dedup.SPLIT_WIDTH)
+    width = options.integer("splitWidth", dedup.SPLIT_WIDTH)
+    if width < 1:
+        raise ValueError("splitWidth must be positive")
+    return width
 
 
 def _deduplicated(keyed: dedup.Keyed, options: Options, batch: Batch | None) -> DataFrame:

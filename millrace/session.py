@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on; `conf` overrides use `_` for `.`-free keys."""
+    """A session with the settings the operators rely on; `conf` adds to them or replaces them."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -47,7 +47,8 @@ def follow(
 
     The query streams over the small positions files; the events of the appends they announce are then read as a
     batch, so that a handler can use every batch operator. `bucket` is the hour of the batch as the checkpoint has it,
-    so a batch that runs again gets the same one. With an `end`, or without `interval_ms`, the query stops once all is read.
+    so a batch that runs again gets the same one. With an `end`, or without `interval_ms`, the query stops once all
+    that is there has been read.
     """
     create_stream(spark, path)
     announced = (
@@ -61,7 +62,7 @@ def follow(
     def on_batch(appends: DataFrame, batch_id: int) -> None:
         session = appends.sparkSession
         bucket = appends.select("bucket").first().bucket
-        chosen = _in_range(appends, start, end).select("writer", "batch").distinct().orderBy("writer", "batch").collect()
+        chosen = _in_range(appends, start, end).select("writer", "batch").distinct().collect()
         folders = [f"{data_folder(path)}/{row.writer}/{row.batch}" for row in chosen]
         if folders:
             events = within(session.read.schema(EVENT_SCHEMA).parquet(*folders), start, end)

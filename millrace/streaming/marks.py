@@ -1,9 +1,10 @@
 """Dedup across micro-batches: the greatest counter of every key seen so far, kept as a table.
 
 Each batch adds its per-key maxima as a new folder, `<marks>/<batch>`; every `SNAPSHOT_EVERY`-th folder holds all keys
-instead. The folder also tells how many rows each key has in the batch, which shows the hot keys. The marks enter the next batch as rows that come before all its events, so the batch operator with its
-hot-key handling decides, and one hot key never has to fit one task. Folders of earlier batches are never changed,
-hence a batch that runs again sees the same marks and gives the same result.
+instead, after which older folders go. A folder also tells how many rows each key has in its batch, which shows the hot
+keys. The marks enter the next batch as rows that come before all its events, so the batch operator with its hot-key
+handling decides, and one hot key never has to fit one task. Folders of earlier batches are never changed, hence a batch
+that runs again sees the same marks and gives the same result.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from millrace.operators.dedup import (
     hot_keys,
     with_previous_max,
 )
+from millrace.sources.events import hadoop_path
 
 SNAPSHOT_EVERY = 20
 _IS_MARK = "_is_mark"
@@ -45,6 +47,16 @@ def marks_before(
     return spark.read.parquet(*[_folder(marks, b) for b in range(newest_snapshot, batch_id)])
 
 
+def forget_marks(spark: SparkSession, marks: str, batch_id: int, snapshot_every: int) -> None:
+    """Delete the folders that neither this batch, run again, nor a later one will read."""
+    if batch_id % snapshot_every:
+        return
+    needed = batch_id - snapshot_every
+    for old in range(max(0, needed - snapshot_every), needed):
+        files, target = hadoop_path(spark, _folder(marks, old))
+        files.delete(target, True)
+
+
 def write_marks(
     keyed: Keyed,
     earlier: DataFrame | None,
@@ -61,6 +73,7 @@ def write_marks(
         rows = rows.unionByName(earlier.select(*keyed.keys, COUNTER, F.lit(0).alias(ROWS)))
     greatest = rows.groupBy(*keyed.keys).agg(F.max(COUNTER).alias(COUNTER), F.sum(ROWS).alias(ROWS))
     greatest.write.mode("overwrite").parquet(_folder(marks, batch_id))
+    forget_marks(keyed.rows.sparkSession, marks, batch_id, snapshot_every)
     return keyed.rows.sparkSession.read.schema(greatest.schema).parquet(_folder(marks, batch_id))
 
 

@@ -25,7 +25,8 @@ AXES = json.dumps({
 
 
 def options(tmp_path, **values):
-    return Options({"input-stream": str(tmp_path / "in"), "output": str(tmp_path / "out"), "endAtTail": "true"} | values)
+    paths = {"input-stream": str(tmp_path / "in"), "output": str(tmp_path / "out")}
+    return Options({**paths, "endAtTail": "true", **values})
 
 
 def sensor_line(sensor, number, data="x"):
