@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 
 from millrace.config import Options
-from millrace.plans.jobs import JOBS
+from millrace.plans.jobs import JOBS, run
 from millrace.session import build_session
 
 
@@ -15,7 +15,7 @@ def main(arguments: list[str]) -> int:
         return 2
     options = Options.from_arguments(arguments[1:])
     spark = build_session(options.get("jobName", arguments[0]))
-    JOBS[arguments[0]](spark, options).awaitTermination()
+    run(spark, arguments[0], options)
     return 0
 
 

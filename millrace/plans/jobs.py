@@ -6,6 +6,7 @@ Every job keeps its progress in `checkpointLocation` and may be stopped and star
 from __future__ import annotations
 
 import logging
+import time
 import uuid
 from collections.abc import Callable
 
@@ -27,7 +28,7 @@ from millrace.sinks.files import write_batch
 from millrace.sources import events as stream
 from millrace.sources.generator import event_numbers, sample_event_lines, sample_events
 from millrace.streaming import marks
-from millrace.streaming.follow import follow
+from millrace.streaming.follow import APPENDS_PER_BATCH, follow
 
 FILE_INTERVAL_MS = 60_000
 COPY_INTERVAL_MS = 10_000
@@ -193,6 +194,7 @@ def _follow(spark: SparkSession, options: Options, default_name: str, handle, in
         end,
         options.integer("checkpointIntervalMs", interval_ms),
         name,
+        options.integer("appendsPerBatch", APPENDS_PER_BATCH),
     )
 
 
@@ -218,9 +220,14 @@ def _begin(spark: SparkSession, options: Options) -> tuple[str, stream.Cut | Non
     return writer, start, end
 
 
+def _console_options(spark: SparkSession, options: Options) -> Options:
+    if options.get("checkpointLocation"):
+        return options
+    return Options({**options.values, "checkpointLocation": scratch_folder(spark, "console")})
+
+
 def stream_to_console(spark: SparkSession, options: Options) -> StreamingQuery:
-    if not options.get("checkpointLocation"):
-        options = Options({**options.values, "checkpointLocation": scratch_folder(spark, "console")})
+    options = _console_options(spark, options)
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
         print_lines(_text_lines(events))
@@ -332,6 +339,21 @@ def sample_data_generator(spark: SparkSession, options: Options) -> StreamingQue
     )
 
 
+def run(spark: SparkSession, job: str, options: Options) -> None:
+    """Run a job until it ends. One with an end cut that lies ahead of the stream waits for the events up to it."""
+    if job == "stream-to-console":
+        options = _console_options(spark, options)
+    while True:
+        JOBS[job](spark, options).awaitTermination()
+        _, _, end = _begin(spark, options)
+        if end is None:
+            return
+        tails = stream.tail_cut(spark, options.stream("input").path)
+        if all(tails.get(segment, 0) >= offset for segment, offset in end.items()):
+            return
+        time.sleep(options.integer("checkpointIntervalMs", COPY_INTERVAL_MS) / 1000)
+
+
 JOBS = {
     "stream-to-console": stream_to_console,
     "stream-to-file": stream_to_file,

@@ -97,7 +97,10 @@ def compare_batch(
     written = write_marks(source, earlier, marks, batch_id, every)
     rows = keyed.usable.withColumn(_IS_MARK, F.lit(False))
     if earlier is not None:
-        carried = earlier.select(*keyed.keys, COUNTER, F.lit(True).alias(_IS_MARK))
+        # Only keys of this batch matter; a small batch filters the marks before they are shuffled.
+        present = written.where(F.col(ROWS) > 0).select(*keyed.keys)
+        carried = earlier.join(present, list(keyed.keys), "left_semi")
+        carried = carried.select(*keyed.keys, COUNTER, F.lit(True).alias(_IS_MARK))
         rows = rows.unionByName(carried, allowMissingColumns=True)
     hot = hot_keys(written.select(F.xxhash64(*keyed.keys).alias(KEY_HASH), ROWS), split_width)
     return with_previous_max(rows, keyed.keys, order_by, split_width, hot).where(~F.col(_IS_MARK))

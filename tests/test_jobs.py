@@ -1,5 +1,6 @@
 import base64
 import json
+from types import SimpleNamespace
 
 import pytest
 from scenarios import SCENARIOS
@@ -114,6 +115,21 @@ def test_end_at_tail_is_fixed_at_first_start(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ["a", "b"]
 
 
+def test_run_waits_for_an_end_cut_ahead_of_the_stream(spark, tmp_path, monkeypatch):
+    path, waits = str(tmp_path / "in"), []
+    publish(spark, path, ["a", "b"])
+
+    def sleep(seconds):
+        waits.append(seconds)
+        publish(spark, path, ["c", "d"], batch_id=len(waits))
+
+    monkeypatch.setattr(jobs, "time", SimpleNamespace(sleep=sleep))
+    chosen = options(tmp_path, endAtTail="false", endStreamCut='{"0": 5}', checkpointIntervalMs="500")
+    jobs.run(spark, "stream-to-file", chosen)
+    assert waits == [0.5, 0.5]
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ["a", "b", "c", "c", "d"]
+
+
 def test_csv_job(spark, tmp_path):
     rows = [sensor_line(0, 1), sensor_line(0, 1, "again"), "bad", sensor_line(0, 2), sensor_line(1, 1)]
     publish(spark, str(tmp_path / "in"), rows)
