@@ -177,6 +177,21 @@ def dedup_stream(spark, folder):
     return spark.read.schema("value string").text(output).select(F.col("value").alias("line"))
 
 
+def dedup_stream_hot(spark, folder):
+    """The stream-to-stream job with one key that holds a third of all events, and so is split."""
+    key = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    rows = events(spark, folder).select("event_id", key.alias("key"), "counter")
+    rows = rows.withColumn("line", render.json_line(rows))
+    path = published(spark, rows, "event_id", "cast(key as string)", appends=3)
+    target = scratch_folder(spark, "clean")
+    options = Options({
+        "input-stream": path, "output-stream": target, "endAtTail": "true", "keyFieldNames": "key",
+        "counterFieldName": "counter", "splitWidth": str(ROWS_PER_SPLIT), "appendsPerBatch": "2",
+    })
+    finished(jobs.stream_to_stream(spark, options))
+    return stream.as_text(stream.read_events(spark, target)).select("line")
+
+
 def dedup_stateful(spark, folder):
     """The keyed state operator inside a streaming query."""
     spark.conf.set(
@@ -387,8 +402,8 @@ QUERIES = {
     query.__name__: query
     for query in (
         dedup_json, dedup_composite, dedup_object_key, dedup_key_types, dedup_bytes, dedup_record, dedup_malformed,
-        dedup_rejects, dedup_passthrough, dedup_hot_key, dedup_hot_third, dedup_stream, dedup_stateful,
-        parse_json, parse_drop, parse_malformed, parse_optional, flatten_arrays, flatten_embeddings,
+        dedup_rejects, dedup_passthrough, dedup_hot_key, dedup_hot_third, dedup_stream, dedup_stream_hot,
+        dedup_stateful, parse_json, parse_drop, parse_malformed, parse_optional, flatten_arrays, flatten_embeddings,
         csv_lines, csv_quoted, json_lines, timestamp_texts, utf8_round_trip, hour_buckets,
         read_range, stream_info, text_scan, binary_scan, read_from_tail, stream_copy, route_events,
         generate_events, csv_job, parquet_job,

@@ -70,6 +70,10 @@ ORACLES = {
         "key", "event_id, key, counter",
     ),
     "dedup_stream": ascending(LINES, "user_id", "line"),
+    "dedup_stream_hot": ascending(
+        f"(SELECT event_id, counter, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS key FROM {COUNTED} c)",
+        "key", """'{"event_id":' || event_id || ',"key":' || key || ',"counter":' || counter || '}' AS line""",
+    ),
     "dedup_stateful": ascending(LINES, "user_id", "line"),
     "parse_json": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "parse_drop": f"""SELECT event_id AS position, user_id, event_type, counter, event_id

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.sources.events import (
     EVENT_SCHEMA,
+    POSITION_SCHEMA,
+    append_name,
     create_stream,
     data_folder,
     path_exists,
@@ -21,9 +23,10 @@ def segment_of(routing_key: Column, segments: int) -> Column:
 
 
 def _next_offset(spark: SparkSession, path: str, writer: str, batch_id: int) -> int:
-    previous = f"{positions_folder(path)}/{writer}/{batch_id - 1}"
-    if batch_id > 0 and path_exists(spark, f"{previous}/_SUCCESS"):
-        positions = spark.read.parquet(previous)
+    """The offset after the last append: from the append before this one, or else from all positions."""
+    previous = f"{positions_folder(path)}/{append_name(writer, batch_id - 1)}" if batch_id > 0 else ""
+    if previous and path_exists(spark, f"{previous}/_SUCCESS"):
+        positions = spark.read.schema(POSITION_SCHEMA).parquet(previous)
     else:
         positions = read_positions(spark, path)
     return positions.agg(F.max("next_offset").alias("n")).first().n or 0
@@ -50,8 +53,8 @@ def append_events(
     """
     spark = df.sparkSession
     create_stream(spark, path)
-    data = f"{data_folder(path)}/{writer}/{batch_id}"
-    positions = f"{positions_folder(path)}/{writer}/{batch_id}"
+    name = append_name(writer, batch_id)
+    data, positions = f"{data_folder(path)}/{name}", f"{positions_folder(path)}/{name}"
     if path_exists(spark, f"{positions}/_SUCCESS"):
         return False
     base = _next_offset(spark, path, writer, batch_id)

@@ -32,6 +32,11 @@ def positions_folder(path: str) -> str:
     return f"{path.rstrip('/')}/positions"
 
 
+def append_name(writer: str, batch: int) -> str:
+    """The folder of one append. Padded, so that folders list in order where files carry coarse times."""
+    return f"{writer}/{batch:012d}"
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The path and its file system, for any scheme the cluster knows."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

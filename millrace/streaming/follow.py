@@ -13,6 +13,7 @@ from millrace.sources.events import (
     EVENT_SCHEMA,
     POSITION_SCHEMA,
     Cut,
+    append_name,
     create_stream,
     data_folder,
     positions_folder,
@@ -63,7 +64,7 @@ def follow(
         session = appends.sparkSession
         bucket = appends.select("bucket").first().bucket
         chosen = _in_range(appends, start, end).select("writer", "batch").distinct().collect()
-        folders = [f"{data_folder(path)}/{row.writer}/{row.batch}" for row in chosen]
+        folders = [f"{data_folder(path)}/{append_name(row.writer, row.batch)}" for row in chosen]
         if folders:
             events = within(session.read.schema(EVENT_SCHEMA).parquet(*folders), start, end)
         else:

@@ -45,7 +45,7 @@ def test_append_is_exactly_once(spark, tmp_path):
     assert publish(spark, path, ["a", "b"]) is False
     # A batch that died after writing data and before its positions does not count and is replaced.
     lost = spark.createDataFrame([(0, 2, "", bytearray(b"half"), None)], stream.EVENT_SCHEMA)
-    lost.write.parquet(f"{path}/data/w/1")
+    lost.write.parquet(f"{path}/data/{stream.append_name('w', 1)}")
     assert texts_of(stream.read_events(spark, path)) == ["a", "b"]
     publish(spark, path, ["c"], batch_id=1)
     assert texts_of(stream.read_events(spark, path)) == ["a", "b", "c"]
