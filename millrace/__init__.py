@@ -11,8 +11,13 @@ from millrace.operators.dedup import (
 from millrace.operators.flatten import flatten, flatten_schema
 from millrace.operators.parse import malformed_lines, parse_records
 from millrace.session import build_session, scratch_folder
+from millrace.sinks.events import append_events
+from millrace.sources.events import as_text, read_events, stream_events, stream_info
+from millrace.streaming.follow import follow
 
 __all__ = [
+    "append_events",
+    "as_text",
     "build_session",
     "dedup_bytes",
     "dedup_json",
@@ -21,8 +26,12 @@ __all__ = [
     "dedup_records_rejects",
     "flatten",
     "flatten_schema",
+    "follow",
     "malformed_lines",
     "parse_avro_schema",
     "parse_records",
+    "read_events",
     "scratch_folder",
+    "stream_events",
+    "stream_info",
 ]

@@ -19,5 +19,9 @@ def main(arguments: list[str]) -> int:
     return 0
 
 
-if __name__ == "__main__":
+def command() -> None:
     sys.exit(main(sys.argv[1:]))
+
+
+if __name__ == "__main__":
+    command()

@@ -42,7 +42,7 @@ SPLIT_WIDTH = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 EARLIER = (Window.unboundedPreceding, -1)
-LOWEST = -1_000_000_000_000_000_000
+LOWEST = "bigint('-9223372036854775808')"
 
 
 @dataclass(frozen=True)

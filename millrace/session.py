@@ -16,6 +16,8 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
     settings = {
         # Rendered timestamps and hour buckets must not depend on the machine.
         "spark.sql.session.timeZone": "UTC",
+        # Field names of events are case-sensitive.
+        "spark.sql.caseSensitive": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

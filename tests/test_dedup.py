@@ -120,3 +120,13 @@ def test_rows_are_shuffled_once(lines):
     wide = [text for text in plan.splitlines() if "Exchange hashpartitioning" in text and "line" in text]
     assert len(wide) <= 1
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
+
+
+def test_lowest_positions_and_marks(spark):
+    """Rows without a position come first even beside the smallest positions there are."""
+    low = -(2**63)
+    rows = [(None, "k", 5), (low, "k", 4), (low + 1, "k", 6), (low + 2, "k", 6), (2**63 - 1, "k", 7)]
+    df = spark.createDataFrame(rows, "seq bigint, key string, counter bigint")
+    for width in (None, 1, 2):
+        kept = dedup.dedup_records(df, "key", "counter", "seq", split_width=width).collect()
+        assert sorted(row.counter for row in kept) == [5, 6, 7]
