@@ -5,7 +5,9 @@ Every job keeps its progress in `checkpointLocation` and may be stopped and star
 
 from __future__ import annotations
 
+import contextlib
 import logging
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -32,6 +34,8 @@ from millrace.streaming.follow import APPENDS_PER_BATCH, follow
 
 FILE_INTERVAL_MS = 60_000
 COPY_INTERVAL_MS = 10_000
+# Counts for the log arrive just after the write they belong to; waiting longer would hold up the job.
+OBSERVATION_SECONDS = 5
 
 log = logging.getLogger("millrace")
 
@@ -82,13 +86,17 @@ class Batch:
         event = F.to_json(F.struct(*[column(c) for c in fields])) if fields != ["line"] else F.col("line")
         self.rejected.append(rows.select(SEGMENT, OFFSET, "reason", event.alias("event")))
 
-    def finish(self) -> None:
-        """After the output is written: write the rejects if they are wanted, and log the counts."""
+    def finish(self, written: bool = True) -> None:
+        """After the output: write the rejects if they are wanted, and log the counts.
+
+        `written` is false for a batch whose output was there already: it was not computed again, so nothing was
+        counted.
+        """
         if self.options.get("rejectsOutput"):
             for number, rows in enumerate(self.rejected):
                 folder = f"{self.options.get('rejectsOutput').rstrip('/')}/batch={self.name}/part={number}"
                 rows.write.mode("overwrite").json(folder)
-        if self.seen is not None:
+        if written and self.seen is not None:
             seen = _observed(self.seen)
             events, kept = seen.pop("rows", 0), _observed(self.kept).get("rows", 0)
             unusable = {reason: n for reason, n in seen.items() if n}
@@ -99,11 +107,17 @@ class Batch:
 
 
 def _observed(observation: Observation) -> dict[str, int]:
-    try:
-        return dict(observation.get)
-    except Py4JJavaError:
-        # Spark cuts the observation out of a plan it finds to be empty while running it.
-        return {}
+    """The observed counts; empty if they do not come, as Spark may find a plan empty and cut the observation out."""
+    counts: dict[str, int] = {}
+
+    def wait() -> None:
+        with contextlib.suppress(Py4JJavaError):
+            counts.update(observation.get)
+
+    waiting = threading.Thread(target=wait, daemon=True)
+    waiting.start()
+    waiting.join(OBSERVATION_SECONDS)
+    return dict(counts)
 
 
 def _split_width(options: Options) -> int:
@@ -292,7 +306,7 @@ def stream_to_stream(spark: SparkSession, options: Options) -> StreamingQuery:
         # One order for events of all source segments; within a segment it is the order of their offsets.
         first, last = (bounds.low or 0) * source_segments, ((bounds.high or 0) + 1) * source_segments - 1
         batch = Batch(options, writer, batch_id)
-        append_events(
+        written = append_events(
             copied_events(events, options, batch),
             target.path,
             writer,
@@ -303,7 +317,7 @@ def stream_to_stream(spark: SparkSession, options: Options) -> StreamingQuery:
             segments=target.segments,
             span=(first, last),
         )
-        batch.finish()
+        batch.finish(written)
 
     return _follow(spark, options, "stream-to-stream", handle, COPY_INTERVAL_MS)
 

@@ -219,3 +219,34 @@ def test_generator_job_numbers_go_on_after_a_restart(spark, tmp_path):
     assert rows and all(row["data"] == "xxx" for row in rows)
     numbers = sorted((row["eventNumber"], row["sensorId"]) for row in rows)
     assert numbers == [(n, s) for n in range(len(rows) // 2) for s in range(2)]
+
+
+@pytest.mark.parametrize("job", ["stream-to-file", "stream-to-stream"])
+def test_crash_between_write_and_commit(job, spark, tmp_path, monkeypatch):
+    texts = [f'{{"k": {i % 3}, "c": {i // 6}}}' for i in range(60)]
+    for batch in range(3):
+        publish(spark, str(tmp_path / "in"), texts[batch * 20:(batch + 1) * 20], batch_id=batch)
+    chosen = options(
+        tmp_path, keyFieldNames="k", counterFieldName="c", appendsPerBatch="1", splitWidth="5",
+        **{"output-stream": str(tmp_path / "out")},
+    )
+    sink = {"stream-to-file": "write_batch", "stream-to-stream": "append_events"}[job]
+    write, calls = getattr(jobs, sink), []
+
+    def crash(*args, **kwargs):
+        write(*args, **kwargs)
+        calls.append(args)
+        if len(calls) in (2, 3):
+            raise RuntimeError("planned crash")
+
+    monkeypatch.setattr(jobs, sink, crash)
+    for _ in range(2):
+        with pytest.raises(Exception, match="planned crash"):
+            jobs.JOBS[job](spark, chosen).awaitTermination()
+    run(jobs.JOBS[job](spark, chosen))
+    assert len(calls) == 5
+    if job == "stream-to-file":
+        out = [row.value for row in spark.read.text(str(tmp_path / "out")).collect()]
+    else:
+        out = texts_of(stream.read_events(spark, str(tmp_path / "out")))
+    assert sorted(out) == sorted(set(texts))
