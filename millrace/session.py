@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,13 +31,14 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under `spark.checkpoint.dir`, which every executor can reach.
+    """A fresh folder under `spark.checkpoint.dir`, which every executor can reach; it goes when the application ends.
 
-    Only a local master, where driver and executors are one process, may fall back to a temporary folder.
+    Where that is not set, as in tests, folders stand in the warehouse, which all executors share as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="millrace-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    folder = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
