@@ -69,36 +69,37 @@ def _failed() -> Column:
 
 
 def _moments(points: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean and Cholesky factor of the covariance of each group, from sums that are aggregated before the shuffle.
+    """Mean and inverse Cholesky factor of the covariance of each group, from sums that are aggregated before the shuffle.
 
-    The floors are added to the diagonal, so the factor exists for groups of one point or of equal points as well.
+    The floors are added to the diagonal, so the factor exists for groups of one point or of equal points as well. The
+    factor is given row by row, without the zeros above its diagonal.
     """
     d = range(len(NAMES))
     sums = points.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(NAMES[i]).alias(f"m{i}") for i in d],
+        F.array(*[F.avg(name) for name in NAMES]).alias("mean"),
         *[F.covar_pop(NAMES[i], NAMES[j]).alias(f"c{i}{j}") for i in d for j in d if j <= i])
+    steps = []
     for i in d:
         for j in range(i + 1):
-            c = F.col(f"c{i}{j}") + (F.lit(FLOOR[NAMES[i]] ** 2) if i == j else 0)
-            rest = c - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            sums = sums.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}"))
-    determinant = sum((F.log(F.col(f"l{i}{i}")) for i in d), F.lit(0.0))
-    factor = F.array(*[F.col(f"l{i}{j}") for i in d for j in range(i + 1)]).alias("factor")
-    return sums.select(*keys, "n", determinant.alias("determinant"), F.array(*[F.col(f"m{i}") for i in d]).alias("mean"), factor)
+            rest = " - ".join([f"(c{i}{j} + {FLOOR[NAMES[i]] ** 2 if i == j else 0.0}D)", *(f"l{i}{k} * l{j}{k}" for k in range(j))])
+            steps.append(f"sqrt(greatest({rest}, 1e-12D)) as l{i}{i}" if i == j else f"({rest}) / l{j}{j} as l{i}{j}")
+    for i in d:
+        for j in range(i):
+            steps.append(f"-({' + '.join(f'l{i}{k} * v{k}{j}' for k in range(j, i))}) / l{i}{i} as v{i}{j}")
+        steps.append(f"1 / l{i}{i} as v{i}{i}")
+    out = [f"{' + '.join(f'ln(l{i}{i})' for i in d)} as determinant",
+           f"array({', '.join(f'v{i}{j}' for i in d for j in range(i + 1))}) as factor"]
+    return sums.selectExpr(*keys, "mean", *steps, *out).select(*keys, "determinant", "mean", "factor")
 
 
 def _distance(points: DataFrame) -> DataFrame:
-    """The squared Mahalanobis distance of each point to the `mean` and `factor` beside it, by forward substitution."""
-    solved: list[Column] = []
-    at = 0
-    out = points
-    for i, name in enumerate(NAMES):
-        row = [F.element_at("factor", at + k + 1) for k in range(i + 1)]
+    """The squared Mahalanobis distance of each point to the `mean` and inverse `factor` beside it."""
+    terms, at = [], 0
+    for i in range(len(NAMES)):
+        parts = [f"factor[{at + k}] * ({NAMES[k]} - mean[{k}])" for k in range(i + 1)]
+        terms.append(f"power({' + '.join(parts)}, 2)")
         at += i + 1
-        value = (F.col(name) - F.element_at("mean", i + 1) - sum((row[k] * F.col(f"y{k}") for k in range(i)), F.lit(0.0))) / row[i]
-        out = out.withColumn(f"y{i}", value)
-        solved.append(F.col(f"y{i}"))
-    return out.withColumn("distance", sum((y * y for y in solved), F.lit(0.0))).drop(*[f"y{i}" for i in range(len(NAMES))])
+    return points.withColumn("distance", F.expr(" + ".join(terms)))
 
 
 def estimates(points: DataFrame) -> DataFrame:
@@ -114,7 +115,6 @@ def estimates(points: DataFrame) -> DataFrame:
                                                    F.struct("lang", F.lit(None).cast("string").alias("source"), F.lit(False).alias("own")))
                                            ).alias("g")).select(*NAMES, "g.*")
     group = ["lang", "source", "own"]
-    same = lambda right, keys: [F.col(k).eqNullSafe(right[k]) for k in keys]
 
     def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         renamed = right.select(*[F.col(k).alias(f"{k}_") for k in keys], *[c for c in right.columns if c not in keys])
@@ -126,7 +126,7 @@ def estimates(points: DataFrame) -> DataFrame:
         F.array(*[F.percentile_approx(n, [0.25, 0.75], 2000) for n in NAMES]).alias("quartiles"))
     d = range(len(NAMES))
     robust = centre.select(*group, F.lit("median").alias("start"), "mean", F.array(*[
-        F.greatest((F.col("quartiles")[i][1] - F.col("quartiles")[i][0]) / 1.349, F.lit(FLOOR[NAMES[i]])) if i == j else F.lit(0.0)
+        1 / F.greatest((F.col("quartiles")[i][1] - F.col("quartiles")[i][0]) / 1.349, F.lit(FLOOR[NAMES[i]])) if i == j else F.lit(0.0)
         for i in d for j in range(i + 1)]).alias("factor"))
     plain = _moments(both, group).select(*group, F.lit("mean").alias("start"), "mean", "factor")
     current = materialise(robust.union(plain), "estimates")
