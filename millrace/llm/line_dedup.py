@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import materialise, packed, unpacked
@@ -14,7 +14,7 @@ PASSAGE_WORDS = 50
 
 
 def _chunked(rows: DataFrame) -> DataFrame:
-    """`chunks` of the column `text`: arrays of lines, in order.
+    """`lines` of the column `text`, and `ends`, the number of the last line of each chunk.
 
     The rolling hash covers a line and the one before it, so boundaries depend on what stands there and not on where:
     lines put in or taken out move the boundaries beside them only.
@@ -22,69 +22,68 @@ def _chunked(rows: DataFrame) -> DataFrame:
     lines = rows.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     marked = lines.withColumn("marks", F.expr(f"""
         transform(lines, l -> struct(xxhash64(l) as hash, size(split(l, ' ')) > {PASSAGE_WORDS} as passage))"""))
-    # Numbers of the lines after which a chunk ends, the last line among them.
-    ends = marked.withColumn("ends", F.expr(f"""
+    return marked.withColumn("ends", F.expr(f"""
         filter(sequence(1, size(lines)), i -> i = size(lines) or marks[i - 1].passage or marks[i].passage
             or pmod(xxhash64(transform(sequence(greatest(1, i - {WINDOW - 1}), i), j -> marks[j - 1].hash)), {EVERY}) = 0)"""))
-    return ends.withColumn("chunks", F.expr("""
-        transform(ends, (e, k) -> slice(lines, if(k = 0, 1, ends[k - 1] + 1), e - if(k = 0, 0, ends[k - 1])))""")).drop(
-            "lines", "marks", "ends")
 
 
-def _removable(rows: DataFrame) -> DataFrame:
-    """`row_id`, `place`, `hash` and `chunk` of the chunks that could repeat: several lines, or a passage."""
-    return rows.select("row_id", "doc_id", F.posexplode("chunks").alias("place", "lines")).filter(
-        f"size(lines) > 1 or size(split(lines[0], ' ')) > {PASSAGE_WORDS}"
-    ).select("row_id", "doc_id", "place", F.array_join("lines", "\n").alias("chunk")).filter("chunk rlike '[^\\\\s]'").withColumn(
-        "hash", F.xxhash64("chunk"))
+def _identified(docs: DataFrame, *passed: Column) -> DataFrame:
+    """`doc_id`, `text` and its hash, which together tell documents apart. Rows that agree in both are one document."""
+    return docs.select(*passed, F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
 
 
-def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """`row_id` and `places` of chunks of which an equal one stands earlier, in order of doc_id and place.
+def repeated_chunks(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `text_hash` and `gone`, the line ranges of chunks of which an equal one stands earlier.
 
-    Hashes are counted first, aggregated before the shuffle; only chunks whose hash repeats are compared by their bytes.
-    Both joins have one row per key on one side, so a chunk that a third of all documents share can be split.
+    Earlier is by doc_id (null last), then by place. Chunks of several lines or of a passage count, unless blank. The
+    first of each hash is found with partial aggregates, so a chunk that a third of all documents share is one row of
+    each task; then every other one is compared with it byte by byte, in a join with one row per hash on one side. Two
+    different chunks with one 64-bit hash are both left alone.
     """
-    chunks = materialise(_removable(rows), "chunks")
-    repeats = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    again = materialise(chunks.join(repeats, "hash"), "repeats")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id", "place")
-    first = again.groupBy("hash", "chunk").agg(F.min(order).alias("first"))
-    later = again.join(first, ["hash", "chunk"]).filter("row_id <> first.row_id or place <> first.place")
-    return later.groupBy("row_id").agg(F.collect_set("place").alias("places"))
+    chunked = _chunked(_identified(docs)).withColumn("begins", F.expr("concat(array(1), transform(slice(ends, 1, size(ends) - 1), e -> e + 1))"))
+    found = chunked.select("doc_id", "text_hash", "lines", F.explode(F.arrays_zip("begins", "ends")).alias("at")).select(
+        "doc_id", "text_hash", F.struct(F.col("at.begins").alias("first"), F.col("at.ends").alias("last")).alias("at"),
+        F.expr("slice(lines, at.begins, at.ends - at.begins + 1)").alias("part"))
+    chunks = found.where(f"size(part) > 1 or size(split(part[0], ' ')) > {PASSAGE_WORDS}").select(
+        "doc_id", "text_hash", "at", F.array_join("part", "\n").alias("chunk")).where("chunk rlike '[^\\\\s]'").withColumn(
+            "hash", F.xxhash64("chunk"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "at")
+    first = chunks.groupBy("hash").agg(F.min(F.struct(place.alias("place"), "chunk")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = first.where("n > 1").select("hash", F.col("first.place").alias("place"), F.col("first.chunk").alias("equal"))
+    later = chunks.join(first, "hash").where("chunk = equal").where(place != F.col("place"))
+    return materialise(later.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("gone")), "repeats")
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The documents with `text` and `n_chars` anew, and beside the struct `row` the columns n_lines and n_removed.
+def summary(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_removed and `removed` (ranges of line numbers such as `3-7,9-9`) of every document.
 
-    A chunk that repeats keeps its first copy, that of the smallest doc_id (null last). What is left of a text keeps its
-    order; a text without repeats keeps its bytes; null texts stay null; a document may end up empty. Rows that repeat
-    are documents like any other, so the text of all but the first goes as far as it can be removed.
+    Null texts count as one empty line, of which nothing goes; an empty table gives an empty result.
     """
-    rows = packed(docs).withColumn("row_id", F.monotonically_increasing_id())
-    chunked = materialise(_chunked(rows.select(
-        "row", "row_id", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))).drop("text"), "lines")
-    gone = repeated_chunks(chunked)
-    joined = chunked.join(gone, "row_id", "left")
-    left = F.expr("filter(chunks, (c, i) -> places is null or not array_contains(places, i))")
-    return joined.select(
-        "row",
-        F.when(F.col("places").isNull(), F.col("row.text")).otherwise(F.array_join(F.flatten(left), "\n")).alias("text"),
-        F.size(F.flatten("chunks")).cast("bigint").alias("n_lines"),
-        (F.size(F.flatten("chunks")) - F.size(F.flatten(left))).cast("bigint").alias("n_removed"),
-    )
-
-
-def summary(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_removed and text_sha256 of what is left, of every document."""
-    return dedup_lines(docs).select(
-        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    lines = docs.select("doc_id", "text")
+    gone = repeated_chunks(lines).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
+    rows = _identified(lines).select("doc_id", "text_hash", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("bigint").alias("n_lines"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
+    return rows.join(gone, same, "left").select(
+        "doc_id", "n_lines",
+        F.expr("aggregate(coalesce(gone, cast(array() as array<struct<first:int,last:int>>)), 0L, (n, g) -> n + g.last - g.first + 1)").alias("n_removed"),
+        F.expr("array_join(transform(sort_array(coalesce(gone, cast(array() as array<struct<first:int,last:int>>))), g -> concat(g.first, '-', g.last)), ',')").alias("removed"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """The documents without repeated chunks, with the columns of the input; n_chars follows the text."""
-    done = dedup_lines(docs)
+    """The documents without repeated chunks, with the columns of the input; n_chars follows the text.
+
+    A chunk that repeats keeps its first copy. What is left of a text keeps its order; a text without repeats keeps its
+    bytes; null texts stay null; a document may end up empty.
+    """
+    rows = packed(docs)
+    gone = repeated_chunks(docs.select("doc_id", "text")).select(
+        F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
+    keyed = rows.select("row", F.col("row.doc_id").cast("bigint").alias("doc_id"), F.xxhash64("row.text").alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
+    joined = keyed.join(gone, same, "left")
+    left = F.expr("""array_join(filter(split(row.text, '\n', -1), (l, i) -> not exists(gone, g -> i + 1 between g.first and g.last)), '\n')""")
+    done = joined.withColumn("text", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(left))
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("row.n_chars"))
+        changed["n_chars"] = F.when(F.col("gone").isNull(), F.col("row.n_chars")).otherwise(F.char_length("text"))
     return unpacked(done, **changed)
