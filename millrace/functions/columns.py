@@ -24,6 +24,6 @@ def with_computed_once(df: DataFrame, fields: Mapping[str, Column]) -> DataFrame
     means parsing once per condition. A generator over a one-element array is a step filters are not pushed through,
     costs no shuffle and stays inside whole-stage codegen.
     """
-    holder = "_computed"
+    holder = "__millrace_computed"
     packed = df.withColumn(holder, F.struct(*[value.alias(name) for name, value in fields.items()]))
     return packed.select(*[column(c) for c in df.columns], F.inline(F.array(F.col(holder))))

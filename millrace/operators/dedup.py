@@ -3,10 +3,11 @@
 A row is kept when its counter is greater than every earlier counter of the same key. Rejected rows never raise that
 maximum, so one running maximum over all earlier valid rows decides, and the rule becomes a window function.
 
-One key may hold a large part of all rows, and a plain window would sort all of them in one task. Keys with more than
-`split_width` rows are therefore cut into buckets along the order column. Rows are shuffled once, by key and bucket;
-the maximum of each bucket, computed with map-side combining, is carried forward to the later buckets of its key and
-joined back on the same key and bucket, so the wide rows are not shuffled a second time.
+One key may hold a large part of all rows, and a plain window would sort all of them in one task. Every key is therefore
+cut into buckets along the order column. Rows are shuffled once, by key and bucket; the maximum of each bucket, computed
+with map-side combining, is carried forward to the later buckets of its key and joined back on the same key and bucket,
+so the wide rows are not shuffled a second time. There is no list of hot keys: a key that is rare has few buckets, and
+what is carried is one narrow row for each bucket after a key's first.
 """
 
 from __future__ import annotations
@@ -22,12 +23,15 @@ from millrace.functions import json_keys
 from millrace.functions.columns import column, quoted, with_computed_once
 from millrace.functions.render import utf8_text
 
-COUNTER = "_counter"
-REASON = "_reason"
-BUCKET = "_bucket"
-PREVIOUS = "_previous"
-ROWS = "_rows"
-KEY_HASH = "_key_hash"
+# Names that start like this belong to the operators; a table that has one is refused.
+OWN = "__millrace_"
+COUNTER = OWN + "counter"
+REASON = OWN + "reason"
+BUCKET = OWN + "bucket"
+PREVIOUS = OWN + "previous"
+ROWS = OWN + "rows"
+INSIDE, GREATEST, CARRIED = OWN + "inside", OWN + "greatest", OWN + "carried"
+MEMBERS, TYPES, VALUE, TEXT, KEY = OWN + "members", OWN + "types", OWN + "value", OWN + "text", OWN + "key"
 
 BAD_JSON = "bad json"
 MISSING_KEY = "missing key"
@@ -35,11 +39,9 @@ MISSING_COUNTER = "missing counter"
 BAD_COUNTER = "bad counter"
 DUPLICATE = "duplicate"
 
-# Rows of one key that one task may sort. With a unique integer order column no bucket can hold more.
+# Length of a bucket in units of the first order column. With a unique integer column no bucket can hold more rows of a
+# key; where many rows share a value (timestamps: one second at this width) it holds all rows of a key in that stretch.
 SPLIT_WIDTH = 1_000_000
-# Upper bound of the broadcast list of hot keys (16 bytes each). Keys beyond it are smaller than every listed one,
-# so each holds less than 1/10,000 of the rows; they stay whole and their rows are still all processed.
-MAX_HOT_KEYS = 10_000
 
 EARLIER = (Window.unboundedPreceding, -1)
 LOWEST = "bigint('-9223372036854775808')"
@@ -72,6 +74,12 @@ def field_names(names: str | Sequence[str]) -> list[str]:
     return [part.strip() for part in parts if part.strip()]
 
 
+def refuse_own_names(df: DataFrame) -> None:
+    taken = [name for name in df.columns if name.lower().startswith(OWN)]
+    if taken:
+        raise ValueError(f"names that start with {OWN!r} are reserved: {', '.join(taken)}")
+
+
 def dedup_enabled(keys: str | Sequence[str], counter: str) -> bool:
     return bool(field_names(keys)) and bool(counter.strip())
 
@@ -79,40 +87,42 @@ def dedup_enabled(keys: str | Sequence[str], counter: str) -> bool:
 def key_json(df: DataFrame, keys: str | Sequence[str], counter: str, text: str = "line") -> Keyed:
     """Key and counter columns read from top-level members of a JSON text column."""
     names, counter = field_names(keys), counter.strip()
+    refuse_own_names(df.drop(TEXT))
     wanted = json_keys.members(column(text), [*names, counter])
-    parsed = df.withColumn("_members", wanted)
-    member = {name: F.col("_members").getField(name) for name in [*names, counter]}
+    parsed = df.withColumn(MEMBERS, wanted)
+    member = {name: F.col(MEMBERS).getField(name) for name in [*names, counter]}
     # By position, as names of struct fields would have to be quoted again.
     types = {name: F.schema_of_variant(value) for name, value in member.items()}
-    parsed = parsed.withColumn("_types", F.array(*types.values()))
-    type_of = {name: F.col("_types")[i] for i, name in enumerate(types)}
-    parsed = parsed.withColumn("_value", json_keys.counter_value(member[counter], type_of[counter]))
+    parsed = parsed.withColumn(TYPES, F.array(*types.values()))
+    type_of = {name: F.col(TYPES)[i] for i, name in enumerate(types)}
+    parsed = parsed.withColumn(VALUE, json_keys.counter_value(member[counter], type_of[counter]))
 
-    key_columns = {f"_key{i}": json_keys.canonical_key(member[n], type_of[n]) for i, n in enumerate(names)}
+    key_columns = {f"{KEY}{i}": json_keys.canonical_key(member[n], type_of[n], column(text), n) for i, n in enumerate(names)}
     missing_key = F.lit(False)
     for name in names:
         missing_key = missing_key | member[name].isNull()
     reason = (
-        F.when(F.col("_members").isNull() | F.col("_members").getField(json_keys.CORRUPT).isNotNull(), BAD_JSON)
+        F.when(F.col(MEMBERS).isNull() | F.col(MEMBERS).getField(json_keys.CORRUPT).isNotNull(), BAD_JSON)
         .when(missing_key, MISSING_KEY)
         .when(member[counter].isNull(), MISSING_COUNTER)
-        .when(F.col("_value").isNull(), BAD_COUNTER)
+        .when(F.col(VALUE).isNull(), BAD_COUNTER)
     )
-    computed = with_computed_once(parsed, {**key_columns, COUNTER: F.col("_value"), REASON: reason})
-    return Keyed(computed.drop("_members", "_types", "_value"), tuple(key_columns), tuple(df.columns))
+    computed = with_computed_once(parsed, {**key_columns, COUNTER: F.col(VALUE), REASON: reason})
+    return Keyed(computed.drop(MEMBERS, TYPES, VALUE), tuple(key_columns), tuple(df.columns))
 
 
 def key_records(df: DataFrame, keys: str | Sequence[str], counter: str) -> Keyed:
     """Key and counter columns of typed records; the counter must be an integer column."""
     names = field_names(keys)
     counter = counter.strip()
+    refuse_own_names(df)
     absent = [name for name in [*names, counter] if name not in df.columns]
     if absent:
         raise ValueError(f"no such field: {', '.join(absent)}")
     counter_type = df.schema[counter].dataType
     if not isinstance(counter_type, (T.LongType, T.IntegerType)):
         raise ValueError(f"counter {counter!r} must be int or long, not {counter_type.simpleString()}")
-    key_columns = {f"_key{i}": _comparable(column(name), df.schema[name].dataType) for i, name in enumerate(names)}
+    key_columns = {f"{KEY}{i}": _comparable(column(name), df.schema[name].dataType) for i, name in enumerate(names)}
     missing_key = F.lit(False)
     for name in names:
         missing_key = missing_key | column(name).isNull()
@@ -141,56 +151,38 @@ def order_columns(df: DataFrame, order_by: str | Sequence[str]) -> list[str]:
     return names
 
 
-def hot_keys(counts: DataFrame, split_width: int) -> DataFrame:
-    """The hot ones of the key hashes in `counts` (columns KEY_HASH and ROWS), at most MAX_HOT_KEYS of them."""
-    hot = counts.where(F.col(ROWS) > split_width).orderBy(F.col(ROWS).desc()).limit(MAX_HOT_KEYS)
-    return hot.select(F.col(KEY_HASH).alias("_hot"))
-
-
 def with_previous_max(
     rows: DataFrame,
     keys: Sequence[str],
     order_by: str | Sequence[str],
     split_width: int | None = SPLIT_WIDTH,
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the greatest earlier counter of the same key, NULL for the first row of a key.
 
-    `split_width` is both the row count that makes a key hot and the length, in units of the first order column, of
-    the buckets a hot key is cut into. None keeps every key whole. The hot keys are counted in a pass over the key
-    columns alone, unless the caller knows them.
+    `split_width` is the length, in units of the first order column, of the buckets that keys are cut into. None keeps
+    every key whole. The maxima of the buckets take a pass over the key, order and counter columns alone.
     """
     order = order_columns(rows, order_by)
     if split_width is None:
         window = Window.partitionBy(*keys).orderBy(*[column(c) for c in order]).rowsBetween(*EARLIER)
         return rows.withColumn(PREVIOUS, F.max(COUNTER).over(window))
 
-    if hot is None:
-        counts = rows.groupBy(F.xxhash64(*keys).alias(KEY_HASH)).agg(F.count(F.lit(1)).alias(ROWS))
-        hot = hot_keys(counts, split_width)
-    # Both uses of `bucketed` below need the same single column of `hot`, so its broadcast is computed once.
-    bucketed = (
-        rows.withColumn(KEY_HASH, F.xxhash64(*keys))
-        .join(F.broadcast(hot), F.col(KEY_HASH) == F.col("_hot"), "left")
-        .withColumn(BUCKET, F.when(F.col("_hot").isNotNull(), _bucket(rows, order[0], split_width)))
-        .drop(KEY_HASH, "_hot")
-    )
+    bucketed = rows.withColumn(BUCKET, _bucket(rows, order[0], split_width))
     group = [*keys, BUCKET]
     in_bucket = Window.partitionBy(*group).orderBy(*[column(c) for c in order]).rowsBetween(*EARLIER)
     over_buckets = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(*EARLIER)
     carried = (
-        bucketed.where(F.col(BUCKET).isNotNull())
-        .groupBy(*group)
-        .agg(F.max(COUNTER).alias("_greatest"))
-        .withColumn("_carried", F.max("_greatest").over(over_buckets))
-        .where(F.col("_carried").isNotNull())
-        .select(*group, "_carried")
+        bucketed.groupBy(*group)
+        .agg(F.max(COUNTER).alias(GREATEST))
+        .withColumn(CARRIED, F.max(GREATEST).over(over_buckets))
+        .where(F.col(CARRIED).isNotNull())
+        .select(*group, CARRIED)
     )
     return (
-        bucketed.withColumn("_inside", F.max(COUNTER).over(in_bucket))
+        bucketed.withColumn(INSIDE, F.max(COUNTER).over(in_bucket))
         .join(carried, group, "left")
-        .withColumn(PREVIOUS, F.greatest("_inside", "_carried"))
-        .drop("_inside", "_carried", BUCKET)
+        .withColumn(PREVIOUS, F.greatest(INSIDE, CARRIED))
+        .drop(INSIDE, CARRIED, BUCKET)
     )
 
 
@@ -255,9 +247,10 @@ def dedup_json_rejects(
 
 def key_bytes(df: DataFrame, keys: str | Sequence[str], counter: str, event: str = "event") -> Keyed:
     """As `key_json` for a binary column; the bytes themselves stay untouched."""
-    decoded = df.withColumn("_text", utf8_text(column(event)))
-    keyed = key_json(decoded, keys, counter, "_text")
-    return Keyed(keyed.rows.drop("_text"), keyed.keys, tuple(df.columns))
+    refuse_own_names(df)
+    decoded = df.withColumn(TEXT, utf8_text(column(event)))
+    keyed = key_json(decoded, keys, counter, TEXT)
+    return Keyed(keyed.rows.drop(TEXT), keyed.keys, tuple(df.columns))
 
 
 def dedup_bytes(

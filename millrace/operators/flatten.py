@@ -47,7 +47,7 @@ def flatten(df: DataFrame, on_mismatch: str = "fail", keep: Sequence[str] = ())
         message = F.lit(f"array fields differ in length: {', '.join(arrays)}")
         guarded = guarded.otherwise(F.raise_error(message).cast(T.ArrayType(element)))
     scalars = [column(c) for c in df.columns if c not in arrays]
-    rows = df.select(*scalars, F.inline(guarded).alias(*[f"_element{i}" for i in range(len(arrays))]))
+    rows = df.select(*scalars, F.inline(guarded).alias(*[f"__millrace_element{i}" for i in range(len(arrays))]))
     return rows.select(*[
-        F.col(f"_element{arrays.index(c)}").alias(c) if c in arrays else column(c) for c in df.columns
+        F.col(f"__millrace_element{arrays.index(c)}").alias(c) if c in arrays else column(c) for c in df.columns
     ])

@@ -17,7 +17,7 @@ from millrace.operators.flatten import flatten
 from millrace.operators.parse import malformed_lines, parse_records
 from millrace.plans import jobs
 from millrace.session import scratch_folder
-from millrace.sinks.events import append_events, segment_of
+from millrace.sinks.events import append_events
 from millrace.sources import events as stream
 from millrace.sources.generator import sample_event_lines, sample_events
 
@@ -122,7 +122,8 @@ def dedup_object_key(spark, folder):
 
 
 def dedup_key_types(spark, folder):
-    forms = ["1", "1.0", "1e0", '"1"', "null", "true", "[1,2]", "[2,1]", '{"a":1,"b":[2]}', '{"b":[2],"a":1}']
+    forms = ["1", "1.0", "1e0", '"1"', "null", "true", "[1,2]", "[2,1]", '{"a":1,"b":[2]}', '{"b":[2],"a":1}',
+             "[1,1.0]", "[1.0,1]", '{"a":[1,2.5]}', '{"a":[1.0,2.5]}']
     key = F.array(*[F.lit(f) for f in forms])[(F.col("event_id") % len(forms)).cast("int")]
     line = F.concat(F.lit('{"key":'), key, F.lit(',"counter":'), F.col("counter").cast("string"), F.lit("}"))
     rows = events(spark, folder).select("event_id", line.alias("line"))
@@ -267,7 +268,7 @@ def flatten_embeddings(spark, folder):
 
 
 def csv_lines(spark, folder):
-    rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     return rows.select("c_custkey", render.csv_line(rows, null_value="").alias("line"))
 
 
@@ -357,13 +358,23 @@ def stream_copy(spark, folder):
 def route_events(spark, folder):
     """How many segments each routing key reaches (one) and how many events it has."""
     path = published(spark, events(spark, folder), "event_id", "cast(user_id as string)")
-    routed = stream.read_events(spark, path)
-    right = F.col("segment") == segment_of(F.col("routing_key"), SEGMENTS)
-    return routed.groupBy("routing_key").agg(
-        F.count(F.lit(1)).alias("events"),
-        (F.max("segment") - F.min("segment") + 1).cast("bigint").alias("segments"),
-        F.bool_and(right).alias("routed_by_key"),
-    )
+    return stream.read_events(spark, path).groupBy("routing_key").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("segment").alias("segments"))
+
+
+def writers_take_turns(spark, folder):
+    """Three writers append by turns; a reader that started at the tail after the second turn sees the other turns."""
+    rows = events(spark, folder)
+    size = rows.agg((F.max("event_id") + 1).alias("n")).first().n or 0
+    path, tail = scratch_folder(spark, "stream"), None
+    for turn in range(6):
+        part = rows.where((F.col("event_id") >= size * turn // 6) & (F.col("event_id") < size * (turn + 1) // 6))
+        append_events(
+            part, path, f"writer{turn % 3}", turn // 3, render.utf8_bytes(F.col("line")), F.col("event_id"),
+            F.col("user_id").cast("string"), SEGMENTS,
+        )
+        tail = stream.tail_cut(spark, path) if turn == 1 else tail
+    return stream.as_text(stream.read_events(spark, path, tail)).select("line", "offset")
 
 
 def generate_events(spark, folder):
@@ -405,7 +416,7 @@ QUERIES = {
         dedup_rejects, dedup_passthrough, dedup_hot_key, dedup_hot_third, dedup_stream, dedup_stream_hot,
         dedup_stateful, parse_json, parse_drop, parse_malformed, parse_optional, flatten_arrays, flatten_embeddings,
         csv_lines, csv_quoted, json_lines, timestamp_texts, utf8_round_trip, hour_buckets,
-        read_range, stream_info, text_scan, binary_scan, read_from_tail, stream_copy, route_events,
+        read_range, stream_info, text_scan, binary_scan, read_from_tail, stream_copy, route_events, writers_take_turns,
         generate_events, csv_job, parquet_job,
     )
 }

@@ -5,14 +5,11 @@ Every job keeps its progress in `checkpointLocation` and may be stopped and star
 
 from __future__ import annotations
 
-import contextlib
 import logging
-import threading
 import time
 import uuid
 from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,8 +31,6 @@ from millrace.streaming.follow import APPENDS_PER_BATCH, follow
 
 FILE_INTERVAL_MS = 60_000
 COPY_INTERVAL_MS = 10_000
-# Counts for the log arrive just after the write they belong to; waiting longer would hold up the job.
-OBSERVATION_SECONDS = 5
 
 log = logging.getLogger("millrace")
 
@@ -63,19 +58,14 @@ class Batch:
         self.options = options
         self.batch_id = batch_id
         self.name = f"{writer}-{batch_id}"
-        self.seen: Observation | None = None
+        self.deduplicated = False
         self.kept: Observation | None = None
         self.rejected: list[DataFrame] = []
 
     def deduplicate(self, keyed: dedup.Keyed) -> DataFrame:
         """Rows that rise over all earlier ones of this and the earlier batches."""
-        self.seen, self.kept = Observation(), Observation()
-        reasons = (dedup.BAD_JSON, dedup.MISSING_KEY, dedup.MISSING_COUNTER, dedup.BAD_COUNTER)
-        counts = [F.count_if(F.col(dedup.REASON) == reason).alias(reason) for reason in reasons]
-        observed = keyed.rows.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
-        compared = marks.compare_batch(
-            keyed, marks_folder(self.options), self.batch_id, ORDER, _split_width(self.options), counted=observed
-        )
+        self.kept, self.deduplicated = Observation(), True
+        compared = marks.compare_batch(keyed, marks_folder(self.options), self.batch_id, ORDER, _split_width(self.options))
         if self.options.get("rejectsOutput"):
             self.reject(marks.rejects(keyed, compared))
         return marks.kept(keyed, compared).observe(self.kept, F.count(F.lit(1)).alias("rows"))
@@ -96,30 +86,17 @@ class Batch:
             for number, rows in enumerate(self.rejected):
                 folder = f"{self.options.get('rejectsOutput').rstrip('/')}/batch={self.name}/part={number}"
                 rows.write.mode("overwrite").json(folder)
-        if written and self.seen is not None:
-            seen = _observed(self.seen)
-            events, kept = seen.pop("rows", 0), _observed(self.kept).get("rows", 0)
-            unusable = {reason: n for reason, n in seen.items() if n}
+        if written and self.deduplicated:
+            unusable = marks.counts(SparkSession.active(), marks_folder(self.options), self.batch_id)
+            usable = unusable.pop(None, 0)
+            # Spark cuts an observation out of a plan that it finds empty; there is nothing to wait for then.
+            kept = self.kept.get["rows"] if usable else 0
             log.warning(
                 "batch %s: %s events, %s kept, %s duplicates, unusable: %s",
-                self.batch_id, events, kept, events - kept - sum(unusable.values()), unusable or "none",
+                self.batch_id, usable + sum(unusable.values()), kept, usable - kept, unusable or "none",
             )
 
 
-def _observed(observation: Observation) -> dict[str, int]:
-    """The observed counts; empty if they do not come, as Spark may find a plan empty and cut the observation out."""
-    counts: dict[str, int] = {}
-
-    def wait() -> None:
-        with contextlib.suppress(Py4JJavaError):
-            counts.update(observation.get)
-
-    waiting = threading.Thread(target=wait, daemon=True)
-    waiting.start()
-    waiting.join(OBSERVATION_SECONDS)
-    return dict(counts)
-
-
 def _split_width(options: Options) -> int:
     width = options.integer("splitWidth", dedup.SPLIT_WIDTH)
     if width < 1:
@@ -299,12 +276,7 @@ def stream_to_stream(spark: SparkSession, options: Options) -> StreamingQuery:
     routing_key = options.get("fixedRoutingKey")
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        bounds = events.agg(
-            F.min("offset").alias("low"), F.max("offset").alias("high"), F.max("segment").alias("segment")
-        ).first()
-        source_segments = (bounds.segment or 0) + 1
-        # One order for events of all source segments; within a segment it is the order of their offsets.
-        first, last = (bounds.low or 0) * source_segments, ((bounds.high or 0) + 1) * source_segments - 1
+        bounds = events.agg(F.min("offset").alias("low"), F.max("offset").alias("high")).first()
         batch = Batch(options, writer, batch_id)
         written = append_events(
             copied_events(events, options, batch),
@@ -312,10 +284,10 @@ def stream_to_stream(spark: SparkSession, options: Options) -> StreamingQuery:
             writer,
             batch_id,
             event=F.col(EVENT),
-            order=F.col(OFFSET) * source_segments + F.col(SEGMENT),
+            order=F.col(OFFSET),  # unique over all segments of a stream
             routing_key=F.lit(routing_key),
             segments=target.segments,
-            span=(first, last),
+            span=(bounds.low, bounds.high) if bounds.low is not None else (0, -1),
         )
         batch.finish(written)
 

@@ -40,10 +40,11 @@ OBJECT_LINE = """'{"source":{' || CASE WHEN event_id % 2 = 0
     THEN '"user":' || user_id || ',"type":"' || event_type || '"'
     ELSE '"type":"' || event_type || '", "user":' || user_id END || '},"counter":' || counter || '}'"""
 
-KEY_FORMS = """['1', '1.0', '1e0', '"1"', 'null', 'true', '[1,2]', '[2,1]', '{"a":1,"b":[2]}', '{"b":[2],"a":1}']"""
-KEY_LINE = f"""'{{"key":' || {KEY_FORMS}[event_id % 10 + 1] || ',"counter":' || counter || '}}'"""
+KEY_FORMS = """['1', '1.0', '1e0', '"1"', 'null', 'true', '[1,2]', '[2,1]', '{"a":1,"b":[2]}', '{"b":[2],"a":1}',
+    '[1,1.0]', '[1.0,1]', '{"a":[1,2.5]}', '{"a":[1.0,2.5]}']"""
+KEY_LINE = f"""'{{"key":' || {KEY_FORMS}[event_id % 14 + 1] || ',"counter":' || counter || '}}'"""
 # 1.0 and 1e0 are one key, and so are the two objects.
-KEY_CLASS = "CASE event_id % 10 WHEN 2 THEN 1 WHEN 9 THEN 8 ELSE event_id % 10 END"
+KEY_CLASS = "CASE event_id % 14 WHEN 2 THEN 1 WHEN 9 THEN 8 ELSE event_id % 14 END"
 
 CSV_TEXT = """CASE WHEN regexp_matches(text, '[",\\r\\n]') THEN '"' || replace(text, '"', '""') || '"' ELSE text END"""
 
@@ -85,7 +86,8 @@ ORACLES = {
     "flatten_embeddings": """SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS position, label,
         CAST(unnest(embedding) AS DOUBLE) AS embedding FROM embeddings""",
     "csv_lines": """SELECT c_custkey, c_custkey || ',' || coalesce(c_name, '') || ','
-        || coalesce(CAST(c_nationkey AS VARCHAR), '') || ',' || coalesce(c_mktsegment, '') AS line FROM customer""",
+        || coalesce(CAST(c_nationkey AS VARCHAR), '') || ',' || coalesce(CAST(c_acctbal AS VARCHAR), '') || ','
+        || coalesce(c_mktsegment, '') AS line FROM customer""",
     "csv_quoted": f"SELECT doc_id, doc_id || ',' || coalesce(lang, '') || ',' || coalesce({CSV_TEXT}, '') AS line "
                   "FROM documents",
     "json_lines": """SELECT event_id, '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"'
@@ -107,7 +109,9 @@ ORACLES = {
     "read_from_tail": f"SELECT line FROM {LINES} l WHERE event_id > (SELECT max(event_id) // 2 FROM events)",
     "stream_copy": f"SELECT 'copied' AS routing_key, line FROM {LINES} l",
     "route_events": """SELECT CAST(user_id AS VARCHAR) AS routing_key, count(*) AS events,
-        CAST(1 AS BIGINT) AS segments, TRUE AS routed_by_key FROM events GROUP BY user_id""",
+        CAST(1 AS BIGINT) AS segments FROM events GROUP BY user_id""",
+    "writers_take_turns": f"""SELECT line, event_id AS "offset" FROM {LINES} l
+        WHERE event_id >= (SELECT (max(event_id) + 1) * 2 // 6 FROM events)""",
     "generate_events": f"""SELECT CAST(s.sensor AS INTEGER) AS "sensorId", event_id AS "eventNumber",
         '{{"sensorId":' || s.sensor || ',"eventNumber":' || event_id || ',"timestamp":' || (epoch_us(ts) // 1000)
         || ',"timestampStr":"' || {RENDERED_SECONDS} || '.' || {fraction(MILLIS)}

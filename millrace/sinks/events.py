@@ -22,14 +22,9 @@ def segment_of(routing_key: Column, segments: int) -> Column:
     return F.pmod(F.xxhash64(routing_key), F.lit(segments)).cast("int")
 
 
-def _next_offset(spark: SparkSession, path: str, writer: str, batch_id: int) -> int:
-    """The offset after the last append: from the append before this one, or else from all positions."""
-    previous = f"{positions_folder(path)}/{append_name(writer, batch_id - 1)}" if batch_id > 0 else ""
-    if previous and path_exists(spark, f"{previous}/_SUCCESS"):
-        positions = spark.read.schema(POSITION_SCHEMA).parquet(previous)
-    else:
-        positions = read_positions(spark, path)
-    return positions.agg(F.max("next_offset").alias("n")).first().n or 0
+def _next_offset(spark: SparkSession, path: str) -> int:
+    """The offset after the last event of all appends, whoever wrote them."""
+    return read_positions(spark, path).agg(F.max("next_offset").alias("n")).first().n or 0
 
 
 def append_events(
@@ -49,7 +44,8 @@ def append_events(
     order values shifted behind the current end, so they rise without sorting or numbering the rows; gaps stay gaps.
     `span` tells the first and last value that `order` can have, where that is known without running `df`.
 
-    One writer at a time appends to a stream.
+    One writer at a time appends to a stream. An append that finds another one committed meanwhile fails, and may be
+    tried again: its data is not counted and will be replaced.
     """
     spark = df.sparkSession
     create_stream(spark, path)
@@ -57,7 +53,7 @@ def append_events(
     data, positions = f"{data_folder(path)}/{name}", f"{positions_folder(path)}/{name}"
     if path_exists(spark, f"{positions}/_SUCCESS"):
         return False
-    base = _next_offset(spark, path, writer, batch_id)
+    base = _next_offset(spark, path)
     rows = df.select(order.cast("bigint").alias("_order"), routing_key.alias("routing_key"), event.alias("event"))
     if span is None:
         ends = rows.agg(F.min("_order").alias("first"), F.max("_order").alias("last")).first()
@@ -77,6 +73,8 @@ def append_events(
         spark.read.schema(EVENT_SCHEMA).parquet(data).groupBy("segment")
         .agg(F.min("offset").alias("head"), (F.max("offset") + 1).alias("tail"))
     )
+    if _next_offset(spark, path) != base:
+        raise RuntimeError(f"another writer appended to {path} while {name} was written; try again")
     # An empty batch still leaves one row without a segment, so that the next batch finds its offset here.
     anchor = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"))
     anchor.join(touched.withColumn("batch", F.lit(batch_id).cast("bigint")), "batch", "left").select(

@@ -124,19 +124,32 @@ def within(events: DataFrame, start: Cut | None = None, end: Cut | None = None)
     return events
 
 
+def appends_within(positions: DataFrame, start: Cut | None = None, end: Cut | None = None) -> DataFrame:
+    """The appends (writer, batch) of a positions table with at least one event between two cuts."""
+    rows = positions.where("segment is not null")
+    begun = within(rows.withColumn("offset", F.col("tail") - 1), start, None)
+    return within(begun.withColumn("offset", F.col("head")), None, end).select("writer", "batch").distinct()
+
+
+def read_appends(spark: SparkSession, path: str, appends: DataFrame, start: Cut | None, end: Cut | None) -> DataFrame:
+    """The events of the named appends between two cuts; the driver lists one folder name for each append."""
+    folders = [f"{data_folder(path)}/{append_name(row.writer, row.batch)}" for row in appends.collect()]
+    if not folders:
+        return spark.createDataFrame([], EVENT_SCHEMA)
+    return within(spark.read.schema(EVENT_SCHEMA).parquet(*folders), start, end)
+
+
 def read_events(spark: SparkSession, path: str, start: Cut | None = None, end: Cut | None = None) -> DataFrame:
-    """All complete appends, between two cuts."""
-    committed = tail_cut(spark, path)
-    if end is not None:
-        committed = {s: min(o, end[s]) for s, o in committed.items() if s in end}
-    reader = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true")
-    return within(reader.parquet(data_folder(path)), start, committed)
+    """All committed appends, between two cuts; appends outside of them are not opened."""
+    return read_appends(spark, path, appends_within(read_positions(spark, path), start, end), start, end)
 
 
 def stream_events(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """The stream as a streaming DataFrame, file by file as the files appear.
 
-    Good for consumers that do not depend on order between micro-batches; `streaming.follow` keeps appends whole.
+    For consumers that depend neither on the order between micro-batches nor on commits: files of an append that never
+    commits come through as well, and an append that was tried again comes through twice. `streaming.follow` reads
+    committed appends only, each once and whole.
     """
     reader = spark.readStream.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").options(**options)
     return reader.parquet(data_folder(path))

@@ -10,14 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.render import hour_bucket
 from millrace.sources.events import (
-    EVENT_SCHEMA,
     POSITION_SCHEMA,
     Cut,
-    append_name,
+    appends_within,
     create_stream,
-    data_folder,
     positions_folder,
-    within,
+    read_appends,
 )
 
 # Appends taken into one micro-batch. The driver lists their folders, so this also bounds what it holds.
@@ -26,13 +24,6 @@ APPENDS_PER_BATCH = 100
 Handler = Callable[[DataFrame, int, str], None]
 
 
-def _in_range(appends: DataFrame, start: Cut | None, end: Cut | None) -> DataFrame:
-    """The appends with at least one event in range."""
-    rows = appends.where("segment is not null")
-    begun = within(rows.withColumn("offset", F.col("tail") - 1), start, None)
-    return within(begun.withColumn("offset", F.col("head")), None, end)
-
-
 def follow(
     spark: SparkSession,
     path: str,
@@ -63,12 +54,7 @@ def follow(
     def on_batch(appends: DataFrame, batch_id: int) -> None:
         session = appends.sparkSession
         bucket = appends.select("bucket").first().bucket
-        chosen = _in_range(appends, start, end).select("writer", "batch").distinct().collect()
-        folders = [f"{data_folder(path)}/{append_name(row.writer, row.batch)}" for row in chosen]
-        if folders:
-            events = within(session.read.schema(EVENT_SCHEMA).parquet(*folders), start, end)
-        else:
-            events = session.createDataFrame([], EVENT_SCHEMA)
+        events = read_appends(session, path, appends_within(appends, start, end), start, end)
         handle(events, batch_id, bucket)
 
     query = announced.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)

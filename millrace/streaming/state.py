@@ -66,12 +66,22 @@ def keep_ascending_stateful(keyed: Keyed, order_by: str | Sequence[str]) -> Data
         is_time = isinstance(keyed.rows.schema[name].dataType, T.TimestampType)
         return F.unix_micros(column(name)) if is_time else column(name)
 
+    def packed_value(field: T.StructField):
+        # Instants go as microseconds: as text they would need a zone.
+        value = F.unix_micros(column(field.name)) if isinstance(field.dataType, T.TimestampType) else column(field.name)
+        return value.cast("string") if not isinstance(field.dataType, T.BinaryType) else value
+
+    def restored(name: str, field: T.StructField):
+        if isinstance(field.dataType, T.TimestampType):
+            return F.timestamp_micros(F.col(name).cast("bigint")).alias(field.name)
+        return F.col(name).cast(field.dataType).alias(field.name)
+
     packed_types = [f.dataType if isinstance(f.dataType, T.BinaryType) else T.StringType() for f in fields]
     rows = keyed.usable.select(
         *[column(k) for k in keyed.keys],
         COUNTER,
         *[position(name).alias(f"_order{i}") for i, name in enumerate(order)],
-        *[column(f.name).cast(t).alias(f"_field{i}") for i, (f, t) in enumerate(zip(fields, packed_types))],
+        *[packed_value(f).alias(f"_field{i}") for i, f in enumerate(fields)],
     )
     packed = [f"_field{i}" for i in range(len(fields))]
     kept = rows.groupBy(*[column(k) for k in keyed.keys]).transformWithStateInPandas(
@@ -80,4 +90,4 @@ def keep_ascending_stateful(keyed: Keyed, order_by: str | Sequence[str]) -> Data
         outputMode="Append",
         timeMode="None",
     )
-    return kept.select(*[F.col(n).cast(f.dataType).alias(f.name) for n, f in zip(packed, fields)])
+    return kept.select(*[restored(n, f) for n, f in zip(packed, fields)])

@@ -130,3 +130,20 @@ def test_lowest_positions_and_marks(spark):
     for width in (None, 1, 2):
         kept = dedup.dedup_records(df, "key", "counter", "seq", split_width=width).collect()
         assert sorted(row.counter for row in kept) == [5, 6, 7]
+
+
+def test_no_key_stays_whole_however_many_are_hot(spark):
+    """More hot keys than any list would hold: every bucket has `split_width` rows of a key at the most."""
+    df = spark.sql("select id as seq, id % 12000 as key, id div 12000 % 3 as counter from range(120000)")
+    compared = dedup.with_previous_max(dedup.key_records(df, "key", "counter").usable, ("key",), "seq", 24000)
+    assert compared.where(dedup.ascends()).count() == 36000
+    plan = plan_of(compared)
+    assert "BroadcastExchange" not in plan and plan.count("Range (") == 2
+
+
+def test_names_of_the_payload_are_its_own(spark):
+    df = spark.sql("select id as seq, 'k' as _key0, id div 2 as _counter, concat('r', id) as _reason, 5 as _hot from range(6)")
+    kept = dedup.dedup_records(df, "_key0", "_counter", "seq", split_width=2).orderBy("seq")
+    assert [tuple(row) for row in kept.collect()] == [(0, "k", 0, "r0", 5), (2, "k", 1, "r2", 5), (4, "k", 2, "r4", 5)]
+    with pytest.raises(ValueError, match="reserved"):
+        dedup.dedup_records(df.withColumnRenamed("_hot", dedup.BUCKET), "_key0", "_counter", "seq")

@@ -27,3 +27,15 @@ def test_batches_equal_one_pass(width, spark, tmp_path):
     assert sorted(kept) == expected(rows)
     assert sorted(kept + dropped) == [row[0] for row in rows]
     assert sorted(int(path.name) for path in folder.iterdir()) == [3, 4, 5, 6, 7]
+
+
+def test_a_small_batch_reads_the_partitions_of_its_keys(spark, tmp_path):
+    folder = str(tmp_path / "marks")
+    first = spark.range(500).selectExpr("id as seq", "id as key", "1L as counter")
+    marks.compare_batch(key_records(first, "key", "counter"), folder, 0, "seq").count()
+    small = key_records(spark.createDataFrame([(900, 7, 2)], "seq bigint, key bigint, counter bigint"), "key", "counter")
+    compared = marks.compare_batch(small, folder, 1, "seq")
+    assert [row.seq for row in marks.kept(small, compared).collect()] == [900]
+    plan = compared._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "FileScan" in line and f"{marks.PART}" in line.split("PartitionFilters:")[1].split("]")[0]]
+    assert filters

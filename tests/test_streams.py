@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from scenarios import SCENARIOS
 
 from millrace.operators import dedup
+from millrace.sinks import events as events_sink
 from millrace.sinks.events import append_events
 from millrace.sinks.files import write_bucketed
 from millrace.sources import events as stream
@@ -53,6 +54,46 @@ def test_append_is_exactly_once(spark, tmp_path):
     assert texts_of(stream.read_events(spark, path)) == ["a", "b", "c", "d"]
 
 
+def test_writers_take_turns(spark, tmp_path):
+    """Every append starts behind the last one, whoever wrote it; a reader that starts at the tail loses nothing."""
+    path = str(tmp_path / "s")
+    publish(spark, path, [f"a{i}" for i in range(10)], writer="a")
+    publish(spark, path, [f"b{i}" for i in range(100)], writer="b")
+    tail = stream.tail_cut(spark, path)
+    publish(spark, path, [f"c{i}" for i in range(10)], writer="a", batch_id=1)
+    events = stream.read_events(spark, path)
+    assert events.count() == events.select("offset").distinct().count() == 120
+    assert sorted(texts_of(stream.read_events(spark, path, start=tail))) == [f"c{i}" for i in range(10)]
+    assert len(stream.read_events(spark, path, start=tail).inputFiles()) <= 2
+
+
+def test_an_orphan_stays_unseen_below_the_tail(spark, tmp_path):
+    path = str(tmp_path / "s")
+    publish(spark, path, ["a"], writer="a")
+    orphan = spark.createDataFrame([(0, 1, "", bytearray(b"lost"), None)], stream.EVENT_SCHEMA)
+    orphan.write.parquet(f"{path}/data/{stream.append_name('a', 1)}")
+    publish(spark, path, ["b", "c"], writer="b")
+    assert texts_of(stream.read_events(spark, path)) == ["a", "b", "c"]
+
+
+def test_an_append_that_was_overtaken_fails(spark, tmp_path, monkeypatch):
+    path, calls = str(tmp_path / "s"), []
+    publish(spark, path, ["a"], writer="a")
+
+    def moved(session, folder, read=events_sink._next_offset):
+        calls.append(folder)
+        if len(calls) == 2:
+            monkeypatch.undo()
+            publish(spark, path, ["other"], writer="b")
+        return read(session, folder)
+
+    monkeypatch.setattr(events_sink, "_next_offset", moved)
+    with pytest.raises(RuntimeError, match="another writer"):
+        publish(spark, path, ["mine"], writer="a", batch_id=1)
+    assert publish(spark, path, ["mine"], writer="a", batch_id=1)
+    assert texts_of(stream.read_events(spark, path)) == ["a", "other", "mine"]
+
+
 def test_routing_keeps_keys_together_and_in_order(spark, tmp_path):
     path = str(tmp_path / "s")
     texts = [f"{i % 7}:{i}" for i in range(70)]
@@ -140,7 +181,7 @@ def stateful_lines(spark, path, checkpoint, output, keys):
     )
 
 
-@pytest.mark.parametrize("name", ["several_types", "rewind_composite"])
+@pytest.mark.parametrize("name", ["value_kinds", "two_fields"])
 def test_stateful_scenario(name, spark, tmp_path, partitions):
     keys, rows = SCENARIOS[name]
     path, checkpoint, output = (str(tmp_path / d) for d in ("s", "c", "o"))
