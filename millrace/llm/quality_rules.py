@@ -144,10 +144,14 @@ def estimates(points: DataFrame) -> DataFrame:
     return materialise(joined(best, sizes, group).withColumn("scale", F.greatest(F.lit(1.0), F.col("middle") / 5.348)), "estimates")
 
 
-def judged(rows: DataFrame) -> DataFrame:
-    """Measured rows with base_failed, distance and kept. Needs `lang` and `source`, of which null is a value like any other."""
+def fitted(rows: DataFrame) -> DataFrame:
+    """The estimates for measured rows, from those that the base rules pass."""
     points = rows.filter(~_failed()).select("lang", "source", *[c.alias(n) for n, c in _transformed().items()])
-    found = estimates(points)
+    return estimates(points)
+
+
+def judged(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Measured rows with base_failed, distance and kept. Needs `lang` and `source`, of which null is a value like any other."""
     own = found.filter(f"own and n >= {MIN_GROUP}").select(
         F.col("lang").alias("lang_"), F.col("source").alias("source_"), F.struct("mean", "factor", "scale").alias("own_"))
     general = found.filter("not own").select(F.col("lang").alias("lang__"), F.struct("mean", "factor", "scale").alias("general_"))
@@ -156,7 +160,9 @@ def judged(rows: DataFrame) -> DataFrame:
     used = F.coalesce("own_", "general_")
     placed = with_all.withColumns({"mean": used["mean"], "factor": used["factor"], "scale": used["scale"], **_transformed()})
     far = _distance(placed).withColumn("base_failed", _failed()).withColumn("distance", F.col("distance") / F.col("scale"))
-    return far.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).drop(
+    # One comparison of values from both sides: a filter on it can't be taken apart and measure texts a second time.
+    limit = F.when(F.col("base_failed"), F.lit(1e300)).otherwise(F.lit(0.0))
+    return far.withColumn("kept", F.greatest(F.coalesce("distance", F.lit(0.0)), limit) <= CUTOFF).drop(
         "lang_", "source_", "lang__", "own_", "general_", "mean", "factor", "scale", *NAMES)
 
 
@@ -170,10 +176,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     empty result, and null languages or sources form groups of their own.
     """
     rows = materialise(measured(docs.select("doc_id", "lang", "source", "text")), "measured")
-    return judged(rows).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
+    return judged(rows, fitted(rows)).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, unchanged."""
+    """The documents that the rules keep, unchanged. They are measured once to fit and once more to decide, so that no
+    text is written in between."""
+    found = fitted(materialise(measured(docs.select("lang", "source", "text")), "measured"))
     rows = packed(docs).select("row", F.col("row.lang").alias("lang"), F.col("row.source").alias("source"), F.col("row.text").alias("text"))
-    return unpacked(judged(materialise(measured(rows), "measured")).filter("kept"))
+    return unpacked(judged(measured(rows), found).filter("kept"))

@@ -115,12 +115,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, one of each component: the one that names it, or for components without any doc_id one of them.
 
-    Of rows that repeat the naming doc_id one is kept.
+    Which rows stay is settled among ids and hashes; the texts are shuffled once, to meet that list. Of rows that
+    repeat the doc_id and the text of the one that stays, one is kept.
     """
-    rows = packed(docs).withColumn("text", F.col("row.text")).withColumn("doc_id", F.col("row.doc_id"))
-    kept = materialise(fingerprints(rows, "doc_id", "row"), "fingerprints")
-    named = classes(kept.select("doc_id", "fp"))
-    first = kept.join(named, "fp").filter("doc_id <=> component_id")
-    repeats = first.groupBy(F.coalesce("component_id", "fp").alias("id"), F.col("component_id").isNull().alias("unnamed")).agg(
-        F.min_by("row", F.xxhash64("row")).alias("row"))
-    return unpacked(repeats.select("row"))
+    keyed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    prints = materialise(fingerprints(keyed, "doc_id", "text_hash"), "fingerprints")
+    named = prints.join(classes(prints), "fp").where("doc_id <=> component_id")
+    stay = named.groupBy(F.coalesce("component_id", "fp").alias("id"), F.col("component_id").isNull().alias("unnamed")).agg(
+        F.min(F.struct("text_hash", "doc_id")).alias("stay")).select(F.col("stay.doc_id").alias("stay_id"), F.col("stay.text_hash").alias("stay_hash"))
+    rows = packed(docs).select("row", F.coalesce(F.col("row.doc_id").cast("bigint"), F.lit(0)).alias("id"),
+                               F.col("row.doc_id").isNull().alias("unnamed"), F.xxhash64("row.text").alias("text_hash"))
+    wanted = stay.select(F.coalesce("stay_id", F.lit(0)).alias("id"), F.col("stay_id").isNull().alias("unnamed"),
+                         F.col("stay_hash").alias("text_hash")).distinct()
+    keys = ["id", "unnamed", "text_hash"]
+    kept = rows.join(wanted, keys, "left_semi").groupBy(*keys).agg(F.first("row").alias("row"))
+    return unpacked(kept.select("row"))

@@ -68,7 +68,7 @@ def test_distances_equal_those_of_a_plain_computation(corpus):
     points = rows.where(~quality_rules._failed()).select("doc_id", *[c.alias(n) for n, c in quality_rules._transformed().items()]).toPandas()
     points = points.sort_values("doc_id")
     want = plain_mcd(points[quality_rules.NAMES].to_numpy(), quality_rules.SHARE, quality_rules.STEPS)
-    got = quality_rules.judged(rows).where("not base_failed").select("doc_id", "distance").toPandas().sort_values("doc_id")
+    got = quality_rules.judged(rows, quality_rules.fitted(rows)).where("not base_failed").select("doc_id", "distance").toPandas().sort_values("doc_id")
     assert np.allclose(got["distance"], want, rtol=1e-6)
 
 

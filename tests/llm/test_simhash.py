@@ -78,7 +78,7 @@ def test_components_of_a_chain(spark):
 
 def test_one_of_each(documents):
     docs = documents(["the same words in here", "the same words in here", "other words stand in this one", None, "", (9, "x y z"), (9, "x y z"),
-                      (None, "q r s"), (None, "q r s")])
+                      (None, "q r s"), (None, "q r s"), (2, "the same words in here")])
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted((str(row.doc_id), row.text) for row in kept.collect()) == [
