@@ -93,7 +93,7 @@ class Batch:
             kept = self.kept.get["rows"] if usable else 0
             log.warning(
                 "batch %s: %s events, %s kept, %s duplicates, unusable: %s",
-                self.batch_id, usable + sum(unusable.values()), kept, usable - kept, unusable or "none",
+                self.batch_id, usable + sum(unusable.values()), kept, usable - kept, dict(sorted(unusable.items())) or "none",
             )
 
 
