@@ -40,6 +40,44 @@ def test_paraphrases_and_clean_documents(documents, spark):
     assert decontaminate.clean(documents(texts), nothing).count() == len(texts)
 
 
+def all_leaks(index, ids):
+    """Leaks by comparing every item with every passage: no retrieval and no bound on shared words."""
+    out = set()
+    for (item, own), mask in zip(index.items, index.masks):
+        n, last = len(own), max(1, round(decontaminate.ANSWER_SHARE * len(own)))
+        answer = {}
+        for place, term in enumerate(own[-last:]):
+            answer[term] = answer.get(term, 0) | 1 << place
+        for first in range(max(1, -(-len(ids) // decontaminate.BLOCK) - 1)):
+            region = ids[max(0, first * decontaminate.BLOCK - n):(first + 2) * decontaminate.BLOCK + n]
+            share, at = decontaminate._best(mask, n, region)
+            answered = decontaminate.common_subsequence(answer, last, region[at:at + n + n // 2]) / last
+            if share >= decontaminate.LCS or share >= decontaminate.PARAPHRASE_LCS and answered >= decontaminate.ANSWER_LCS:
+                out.add(item)
+    return out
+
+
+def test_no_leak_is_lost_in_a_large_benchmark(documents, spark):
+    """900 items, more than dimensions of any decomposition here: copies and paraphrases in every document."""
+    rng = random.Random(6)
+    spoken = [f"{a}{b}{c}{d}" for a in "bdfgklmnprst" for b in "aeiou" for c in "lnrst" for d in ("ak", "em", "ip", "ol", "uf")]
+    draw = lambda n: [spoken[int(len(spoken) * rng.random() ** 2)] for _ in range(n)]
+    items = [draw(rng.randrange(12, 50)) for _ in range(900)]
+    texts = []
+    for at, words in enumerate(items):
+        far = items[at - 7]
+        near = [w if i % 4 or i > 0.7 * len(far) else "unheard" for i, w in enumerate(far)]  # a paraphrase that keeps the answer
+        texts.append(" ".join([*draw(rng.randrange(40)), *words, *draw(rng.randrange(40)), *near, *draw(rng.randrange(40))]))
+    texts.append(" ".join(draw(3000) + items[5] + draw(500)))
+    docs = documents(texts)
+    benchmark = spark.createDataFrame([(i, " ".join(ws)) for i, ws in enumerate(items)], "item_id bigint, text string")
+    got = {(row.doc_id, row.item_id) for row in decontaminate.leaks(docs, benchmark).collect()}
+    assert {(i, i) for i in range(900)} <= got
+    index = decontaminate.build_index(docs, benchmark)
+    for doc in [*range(0, 900, 45), 900]:
+        assert {item for i, item in got if i == doc} == all_leaks(index, index.ids(texts[doc]).tolist())
+
+
 def test_subsequences_against_a_table():
     rng = random.Random(4)
     for _ in range(300):
