@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialise, packed, unpacked
+from millrace.llm.common import WORD_GAP, materialise, packed, unpacked
 
 #: A chunk ends after a line whose rolling hash over WINDOW lines is 0 modulo EVERY.
 WINDOW, EVERY = 2, 2
@@ -32,8 +32,9 @@ def _identified(docs: DataFrame, *passed: Column) -> DataFrame:
     return docs.select(*passed, F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `text_hash` and `gone`, the line ranges of chunks of which an equal one stands earlier.
+def repeated_chunks(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """`doc_id`, `text_hash` and `gone`, the line ranges of chunks of which an equal one stands earlier, and with `runs`
+    those of `_repeated_runs` too.
 
     Earlier is by doc_id (null last), then by place. Chunks of several lines or of a passage count, unless blank. The
     first of each hash is found with partial aggregates, so a chunk that a third of all documents share is one row of
@@ -50,17 +51,53 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "at")
     first = chunks.groupBy("hash").agg(F.min(F.struct(place.alias("place"), "chunk")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = first.where("n > 1").select("hash", F.col("first.place").alias("place"), F.col("first.chunk").alias("equal"))
-    later = chunks.join(first, "hash").where("chunk = equal").where(place != F.col("place"))
-    return materialise(later.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("gone")), "repeats")
+    later = chunks.join(first, "hash").where("chunk = equal").where(place != F.col("place")).select("doc_id", "text_hash", "at")
+    if runs:
+        later = later.union(_repeated_runs(docs))
+    found = later.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("gone"))
+    # Ranges that overlap become one.
+    return materialise(found.withColumn("gone", F.expr("""
+        aggregate(gone, cast(array() as array<struct<first:int,last:int>>), (out, g) ->
+            if(size(out) > 0 and get(out, size(out) - 1).last >= g.first,
+               concat(slice(out, 1, size(out) - 1), array(struct(get(out, size(out) - 1).first as first,
+                      greatest(get(out, size(out) - 1).last, g.last) as last))),
+               concat(out, array(g))))""")), "repeats")
+
+
+def _repeated_runs(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `text_hash` and `at`, runs of several lines that pass PASSAGE_WORDS words and stand earlier, wherever
+    chunks end.
+
+    From each line that is not blank goes the shortest run with more words, so any longer repeat consists of such runs
+    but for a rest of PASSAGE_WORDS words at most. Runs are compared by SHA-256, so that texts are not shuffled; one row
+    per line is. The first copy stays: a run that overlaps it in its own document does not count.
+    """
+    split = _identified(docs).withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1)).withColumn(
+        "words", F.transform("lines", lambda x: F.size(F.array_remove(F.split(x, WORD_GAP), "")))).withColumn(
+        "full", F.expr("filter(sequence(1, size(lines)), i -> words[i - 1] > 0)"))
+    # A run has PASSAGE_WORDS + 1 lines at most that are not blank.
+    runs = split.withColumn("runs", F.expr(f"""
+        filter(transform(full, (at, i) -> struct(at as first, aggregate(slice(full, i + 1, {PASSAGE_WORDS + 1}),
+            struct(0 as n, at as last), (s, j) -> if(s.n > {PASSAGE_WORDS}, s, struct(s.n + words[j - 1] as n, j as last))) as run)),
+            r -> r.run.n > {PASSAGE_WORDS} and (r.run.last > r.first or size(split(lines[r.first - 1], ' ')) <= {PASSAGE_WORDS}))"""))
+    each = runs.select("doc_id", "text_hash", F.explode(F.expr("""
+        transform(runs, r -> struct(struct(r.first as first, r.run.last as last) as at,
+            unhex(sha2(array_join(slice(lines, r.first, r.run.last - r.first + 1), '\n'), 256)) as hash))""")).alias("r")).select(
+                "doc_id", "text_hash", "r.at", "r.hash")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "at")
+    first = each.groupBy("hash").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "place")
+    own = F.col("doc_id").eqNullSafe(F.col("place.doc_id")) & (F.col("text_hash") == F.col("place.text_hash"))
+    later = each.join(first, "hash").where(~(own & (F.col("at.first") <= F.col("place.at.last"))))
+    return later.select("doc_id", "text_hash", "at")
 
 
-def summary(docs: DataFrame) -> DataFrame:
+def summary(docs: DataFrame, runs: bool = False) -> DataFrame:
     """doc_id, n_lines, n_removed and `removed` (ranges of line numbers such as `3-7,9-9`) of every document.
 
     Null texts count as one empty line, of which nothing goes; an empty table gives an empty result.
     """
     lines = docs.select("doc_id", "text")
-    gone = repeated_chunks(lines).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
+    gone = repeated_chunks(lines, runs).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
     rows = _identified(lines).select("doc_id", "text_hash", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("bigint").alias("n_lines"))
     same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
     return rows.join(gone, same, "left").select(
@@ -69,14 +106,14 @@ def summary(docs: DataFrame) -> DataFrame:
         F.expr("array_join(transform(sort_array(coalesce(gone, cast(array() as array<struct<first:int,last:int>>))), g -> concat(g.first, '-', g.last)), ',')").alias("removed"))
 
 
-def cleaned(docs: DataFrame) -> DataFrame:
-    """The documents without repeated chunks, with the columns of the input; n_chars follows the text.
+def cleaned(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """The documents without repeated chunks and `runs`, with the columns of the input; n_chars follows the text.
 
     A chunk that repeats keeps its first copy. What is left of a text keeps its order; a text without repeats keeps its
     bytes; null texts stay null; a document may end up empty.
     """
     rows = packed(docs)
-    gone = repeated_chunks(docs.select("doc_id", "text")).select(
+    gone = repeated_chunks(docs.select("doc_id", "text"), runs).select(
         F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
     keyed = rows.select("row", F.col("row.doc_id").cast("bigint").alias("doc_id"), F.xxhash64("row.text").alias("text_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))

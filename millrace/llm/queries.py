@@ -29,7 +29,7 @@ def _with(other: str, work: Callable[[DataFrame, DataFrame], DataFrame]) -> Call
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": _documents(secrets.scan),
     "op2_simhash_near_dedup": _documents(simhash.near_duplicates),
-    "op3_line_dedup": _documents(line_dedup.summary),
+    "op3_line_dedup": _documents(lambda docs: line_dedup.summary(docs, runs=True)),
     "op4_toxicity": _with("labels", toxicity.toxicity),
     "op5_token_counts": _documents(lambda docs: token_counts.token_counts(docs, PIECES)),
     "op6_sharding": _documents(sharding.shard),

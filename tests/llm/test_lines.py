@@ -1,7 +1,10 @@
+import re
+
 from odd import ODD
 from pyspark.sql import functions as F
 
 from millrace.llm import line_dedup
+from millrace.llm.queries import QUERIES
 
 LONG = " ".join(f"w{i}" for i in range(60))
 
@@ -70,3 +73,39 @@ def test_repeated_rows_and_ids(documents):
     # Rows that agree in doc_id and text are one document and fare alike.
     assert len(rows) == 3 and [row.doc_id for row in whole] == [1, 1]
     assert line_dedup.summary(documents([])).count() == 0
+
+
+def shortest_runs(lines):
+    """From each line that is not blank, the shortest run of lines with over 50 words: first and last, from 1."""
+    n = [len([w for w in re.split("[\\x20\\x09-\\x0d]+", line) if w]) for line in lines]
+    for i in range(len(lines)):
+        last = next((j for j in range(i, len(lines)) if sum(n[i:j + 1]) > 50), None)
+        if n[i] and last is not None:
+            yield i + 1, last + 1
+
+
+def test_no_repeated_run_of_lines_stays(spark, texts):
+    gone = {}
+    for row in QUERIES["op3_line_dedup"](spark, "/root/testdata/sf0.001").collect():
+        ranges = [tuple(map(int, part.split("-"))) for part in row.removed.split(",") if part]
+        gone[row.doc_id] = {n for a, b in ranges for n in range(a, b + 1)}
+        assert row.n_removed == len(gone[row.doc_id])
+    seen, repeats = {}, 0
+    for doc, text in sorted(texts.items()):
+        lines = (text or "").split("\n")
+        for first, last in shortest_runs(lines):
+            run = "\n".join(lines[first - 1:last])
+            place = seen.setdefault(run, (doc, last))
+            if place[0] < doc or first > place[1]:
+                repeats += 1
+                assert gone[doc] >= set(range(first, last + 1))
+    left = {line for doc, text in texts.items() for n, line in enumerate((text or "").split("\n")) if n + 1 not in gone[doc]}
+    assert repeats > 100 and left == {line for text in texts.values() for line in (text or "").split("\n")}
+
+
+def test_runs_of_short_lines(documents):
+    block = [f"line {i} of the block" for i in range(12)]
+    frame = documents(["\n".join(["first", *block, "end"]), "\n".join(["a", "b", "c", *block]), "\n".join(["same old words"] * 60)])
+    left = {row.doc_id: row.text for row in line_dedup.cleaned(frame, runs=True).collect()}
+    assert left[0] == "\n".join(["first", *block, "end"]) and left[1] == "a\nb\nc"
+    assert set(left[2].split("\n")) == {"same old words"}
