@@ -89,16 +89,17 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def classes(fps: DataFrame) -> DataFrame:
-    """`fp`, `copies` and `component_id` of each distinct fingerprint in `doc_id`, `fp`.
+    """`fp`, `copies`, `component_id` and `root` of each distinct fingerprint in `doc_id`, `fp`.
 
-    The component is named by its smallest doc_id that is not null (null if it has none).
+    The component is named by its smallest doc_id that is not null (null if it has none); `root` is its smallest
+    fingerprint.
     """
     distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "classes")
     roots = connected(links(distinct.select("fp")))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", "copies", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return materialise(rooted.join(names, "root").select("fp", "copies", "component_id"), "classes")
+    return materialise(rooted.join(names, "root").select("fp", "copies", "component_id", "root"), "classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     keyed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     prints = materialise(fingerprints(keyed, "doc_id", "text_hash"), "fingerprints")
     named = prints.join(classes(prints), "fp").where("doc_id <=> component_id")
-    stay = named.groupBy(F.coalesce("component_id", "fp").alias("id"), F.col("component_id").isNull().alias("unnamed")).agg(
+    stay = named.groupBy(F.coalesce("component_id", "root").alias("id"), F.col("component_id").isNull().alias("unnamed")).agg(
         F.min(F.struct("text_hash", "doc_id")).alias("stay")).select(F.col("stay.doc_id").alias("stay_id"), F.col("stay.text_hash").alias("stay_hash"))
     rows = packed(docs).select("row", F.coalesce(F.col("row.doc_id").cast("bigint"), F.lit(0)).alias("id"),
                                F.col("row.doc_id").isNull().alias("unnamed"), F.xxhash64("row.text").alias("text_hash"))

@@ -2,6 +2,7 @@ import random
 
 import xxhash
 from odd import ODD
+from pyspark.sql import functions as F
 
 from millrace.llm import simhash
 from millrace.llm.components import connected
@@ -83,3 +84,16 @@ def test_one_of_each(documents):
     assert kept.columns == docs.columns
     assert sorted((str(row.doc_id), row.text) for row in kept.collect()) == [
         ("0", "the same words in here"), ("2", "other words stand in this one"), ("3", None), ("9", "x y z"), ("None", "q r s")]
+
+
+def test_one_of_each_component_without_ids(documents, monkeypatch):
+    """Fingerprints 1 and 2 bits apart, and two apart only over a third one."""
+    prints = {"a": 0, "b": 1, "c": 3 << 10, "d": 7 << 10, "e": 31 << 10, "f": 255 << 40, "g": 255 << 40 | 3, "h": 255 << 20}
+    frame = documents([(None, text) for text in "abcdefgh"] + [(4, "h")])
+    as_frame = lambda docs, *passed: docs.select(
+        *passed, F.element_at(F.create_map(*[F.lit(x) for pair in prints.items() for x in pair]), F.col("text")).cast("bigint").alias("fp"))
+    monkeypatch.setattr(simhash, "fingerprints", as_frame)
+    kept = sorted((str(row.doc_id), row.text) for row in simhash.one_of_each(frame).collect())
+    groups = [{"a", "b", "c", "d", "e"}, {"f", "g"}]
+    assert ("4", "h") in kept and len(kept) == 3
+    assert all(sum(text in group for doc, text in kept if doc == "None") == 1 for group in groups)
