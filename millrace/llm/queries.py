@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    byte_bpe, decontaminate, line_dedup, quality_model, quality_rules, secrets, sharding, simhash, token_counts, toxicity,
+    byte_bpe, decontaminate, language, line_dedup, phrases, quality_model, quality_rules, search, secrets, sharding, simhash,
+    token_counts, toxicity,
 )
 from millrace.llm.common import table
 
@@ -37,6 +38,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": _documents(quality_rules.quality_rules),
     "op9_byte_bpe": _documents(lambda docs: byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)),
     "op10_quality_classifier": _with("labels", quality_model.quality),
+    "op11_phrase_mining": _documents(phrases.phrases),
+    "op12_language_id": _documents(language.languages),
+    "op13_ranked_search": _with("benchmark", search.ranked),
 }
 
 
@@ -76,4 +80,6 @@ def _scan_sql() -> str:
 
 
 #: Queries that SQL can express: the others hash with functions that the other engine lacks, encode tokens, or fit models.
-ORACLES: dict[str, str] = {"op1_secret_scan": _scan_sql()}
+ORACLES: dict[str, str] = {
+    "op1_secret_scan": _scan_sql(), "op11_phrase_mining": phrases.phrases_sql(), "op13_ranked_search": search.ranked_sql(),
+}

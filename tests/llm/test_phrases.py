@@ -1,0 +1,72 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from odd import ODD
+
+from millrace.llm import phrases
+from millrace.llm.queries import QUERIES
+
+CAPITALS = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def brute(rows, longest=3, least=10, most=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of rows (text, lang), by counting everything."""
+    f, sizes = Counter(), Counter()
+    for text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(CAPITALS)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            sizes[lang or "und"] += len(words)
+            f.update((lang or "und", *words[i:i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1))
+    candidates = {key: a for key, a in f.items() if len(key) > 2 and a >= least}
+    dropped = {(key[0], *key[i:j]) for key, a in candidates.items() for i in range(1, len(key)) for j in range(i + 2, len(key) + 1)
+               if j - i < len(key) - 1 and 100 * a >= 50 * f[(key[0], *key[i:j])]}
+    by_lang = defaultdict(list)
+    for key, a in candidates.items():
+        if key not in dropped:
+            lang, words = key[0], key[1:]
+            cuts = [(f[(lang, *words[:k])], f[(lang, *words[k:])]) for k in range(1, len(words))]
+            score, k = min((1_000_000 * a * a // (x * y), i) for i, (x, y) in enumerate(cuts))
+            by_lang[lang].append((-score, -a, " ".join(words).encode(), *cuts[k]))
+    return sorted((lang, rank + 1, p.decode(), -a, x, y, sizes[lang], -s)
+                  for lang, found in by_lang.items() for rank, (s, a, p, x, y) in enumerate(sorted(found)[:most]))
+
+
+def drawn(n):
+    rng = random.Random(8)
+    words = [*"abcdefghij", "Über", "ÜBER", "x y", "日本"]
+    return ["".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", ", ", "\t", "\n"]) for _ in range(rng.randrange(40))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("bound", [phrases.BROADCAST_ROWS, 0])
+def test_against_counting_everything(spark, documents, monkeypatch, bound):
+    """Both ways to leave out rare groups: a broadcast list and a shuffled one."""
+    monkeypatch.setattr(phrases, "BROADCAST_ROWS", bound)
+    texts = drawn(120)
+    frame = documents([*texts, *ODD]).union(documents([(None, t) for t in texts[:60]] * 2, lang=None)).union(documents(["C d e. " * 30] * 3, lang="fr"))
+    want = brute([(t, "en") for t in [*texts, *ODD]] + [(t, None) for t in texts[:60]] * 2 + [("C d e. " * 30, "fr")] * 3)
+    assert sorted(map(tuple, phrases.phrases(frame).collect())) == want and {row[0] for row in want} == {"en", "fr", "und"}
+    few = sorted(map(tuple, phrases.phrases(frame, longest=4, least=4, most=7).collect()))
+    assert few == brute([(t, "en") for t in [*texts, *ODD]] + [(t, None) for t in texts[:60]] * 2 + [("C d e. " * 30, "fr")] * 3, 4, 4, 7)
+    assert phrases.phrases(documents([])).count() == 0 == phrases.phrases(documents(ODD[:4])).count()
+
+
+def test_words_with_one_hash_get_another_seed(spark):
+    words = spark.createDataFrame([("en", "a", 1), ("en", "b", 1)], "lang string, word string, f bigint")
+    assert words.select(phrases._numbered(words).alias("w")).distinct().count() == 2
+    again = words.union(words)  # never apart from itself, whatever the seed
+    with pytest.MonkeyPatch.context() as patch:
+        tried = []
+        empty = type(words).isEmpty
+        patch.setattr(type(words), "isEmpty", lambda self: tried.append(0) or empty(self) or len(tried) > 3)
+        phrases._numbered(again)
+    assert len(tried) == 4
+
+
+def test_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    own = duckdb.connect()
+    own.sql(f"create view documents as select * from '{folder}/documents.parquet'")
+    assert sorted(map(tuple, QUERIES["op11_phrase_mining"](spark, folder).collect())) == sorted(own.sql(phrases.phrases_sql()).fetchall())
