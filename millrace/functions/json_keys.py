@@ -14,7 +14,10 @@ WIDE_INTEGER_TYPE = r"^DECIMAL\((19|2\d|3\d),0\)$"
 
 # What JSON itself allows; Spark's reader is more lenient by default.
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-CORRUPT = "_corrupt_text"
+# The setting under which the last of several members with one name counts, instead of being an error.
+REPEATED_NAMES = "spark.sql.variant.allowDuplicateKeys"
+# A name that no member and no Avro field is given.
+CORRUPT = "millrace:corrupt"
 
 
 def members(text: Column, names: Sequence[str]) -> Column:

@@ -33,9 +33,66 @@ def hour_bucket(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd--HH")
 
 
+def quoted_text(text: Column) -> Column:
+    """Text in quotes as Avro prints it: JSON escapes, and those of C1 controls and U+2000 to U+20FF besides."""
+    escaped = F.to_json(F.array(text))
+    escaped = F.substring(escaped, F.lit(2), F.length(escaped) - 2)
+    rare = "[\\x7F-\\x9F\\u2000-\\u20FF]"
+    letters = F.transform(F.split(escaped, ""), lambda c: F.when(
+        c.rlike(rare), F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(c)), 4, "0"))).otherwise(c))
+    return F.when(escaped.rlike(rare), F.array_join(letters, "")).otherwise(escaped)
+
+
+def _union_members(data_type: T.DataType) -> list[T.StructField]:
+    """The branches of a union struct (see `avro_schema`); none for other types."""
+    fields = data_type.fields if isinstance(data_type, T.StructType) else []
+    return fields if [f.name for f in fields] == [f"member{i}" for i in range(len(fields))] else []
+
+
+def nested_text(value: Column, data_type: T.DataType) -> Column:
+    """A value inside another one in Avro's text form: records and maps in braces, texts and bytes in quotes."""
+    if isinstance(data_type, T.ArrayType):
+        items = F.transform(value, lambda v: nested_text(v, data_type.elementType))
+        text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    elif isinstance(data_type, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.concat(
+            quoted_text(e.getField("key")), F.lit(": "), nested_text(e.getField("value"), data_type.valueType)))
+        text = F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
+    elif members := _union_members(data_type):
+        text = F.coalesce(*[
+            F.when(value.getField(m.name).isNotNull(), nested_text(value.getField(m.name), m.dataType)) for m in members])
+    elif isinstance(data_type, T.StructType):
+        parts = [F.concat(quoted_text(F.lit(f.name)), F.lit(": "), nested_text(value.getField(f.name), f.dataType))
+                 for f in data_type.fields]
+        text = F.concat(F.lit("{"), *[p for part in parts for p in (F.lit(", "), part)][1:], F.lit("}"))
+    elif isinstance(data_type, T.BinaryType):
+        text = quoted_text(F.decode(value, "ISO-8859-1"))
+    elif isinstance(data_type, (T.FloatType, T.DoubleType)):
+        plain = value.cast("string")
+        text = F.when(plain.isin("NaN", "Infinity", "-Infinity"), F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(plain)
+    elif isinstance(data_type, (T.BooleanType, T.IntegralType, T.DecimalType)):
+        text = value.cast("string")
+    else:
+        text = quoted_text(value.cast("string"))
+    return F.when(value.isNull(), "null").otherwise(text)
+
+
+def csv_text(value: Column, data_type: T.DataType) -> Column:
+    """A field's own text, null if it is null: plain for single values and arrays of them, Avro's text form for others."""
+    if isinstance(data_type, T.MapType):
+        return F.to_json(value)
+    if members := _union_members(data_type):
+        return F.coalesce(*[csv_text(value.getField(m.name), m.dataType) for m in members])
+    if isinstance(data_type, T.BinaryType):
+        return F.decode(value, "ISO-8859-1")
+    nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+    if isinstance(data_type, T.StructType) or isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, nested):
+        return F.when(value.isNotNull(), nested_text(value, data_type))
+    return value.cast("string")
+
+
 def csv_field(name: str, data_type: T.DataType, quote: bool = False) -> Column:
-    value = column(name)
-    text = F.to_json(value) if isinstance(data_type, (T.StructType, T.MapType)) else value.cast("string")
+    text = csv_text(column(name), data_type)
     if not quote:
         return text
     escaped = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))

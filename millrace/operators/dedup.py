@@ -4,10 +4,10 @@ A row is kept when its counter is greater than every earlier counter of the same
 maximum, so one running maximum over all earlier valid rows decides, and the rule becomes a window function.
 
 One key may hold a large part of all rows, and a plain window would sort all of them in one task. Every key is therefore
-cut into buckets along the order column. Rows are shuffled once, by key and bucket; the maximum of each bucket, computed
-with map-side combining, is carried forward to the later buckets of its key and joined back on the same key and bucket,
-so the wide rows are not shuffled a second time. There is no list of hot keys: a key that is rare has few buckets, and
-what is carried is one narrow row for each bucket after a key's first.
+cut into buckets along the order column. Rows are read once and dealt once, by key and bucket. Both the maxima of the
+buckets and the comparison within them read what was dealt: the maxima are carried forward to the later buckets of their
+key and joined back on the same key and bucket. There is no list of hot keys: a key that is rare has few buckets, and what
+is carried is one narrow row for each bucket after a key's first.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ BUCKET = OWN + "bucket"
 PREVIOUS = OWN + "previous"
 ROWS = OWN + "rows"
 INSIDE, GREATEST, CARRIED = OWN + "inside", OWN + "greatest", OWN + "carried"
+ROW = OWN + "row"
 MEMBERS, TYPES, VALUE, TEXT, KEY = OWN + "members", OWN + "types", OWN + "value", OWN + "text", OWN + "key"
 
 BAD_JSON = "bad json"
@@ -38,6 +39,7 @@ MISSING_KEY = "missing key"
 MISSING_COUNTER = "missing counter"
 BAD_COUNTER = "bad counter"
 DUPLICATE = "duplicate"
+MISFIT = "does not fit the schema"
 
 # Length of a bucket in units of the first order column. With a unique integer column no bucket can hold more rows of a
 # key; where many rows share a value (timestamps: one second at this width) it holds all rows of a key in that stretch.
@@ -85,7 +87,11 @@ def dedup_enabled(keys: str | Sequence[str], counter: str) -> bool:
 
 
 def key_json(df: DataFrame, keys: str | Sequence[str], counter: str, text: str = "line") -> Keyed:
-    """Key and counter columns read from top-level members of a JSON text column."""
+    """Key and counter columns read from top-level members of a JSON text column.
+
+    Of members with one name the last counts, at any depth; Spark's reader of JSON values asks for a setting to do so.
+    """
+    df.sparkSession.conf.set(json_keys.REPEATED_NAMES, "true")
     names, counter = field_names(keys), counter.strip()
     refuse_own_names(df.drop(TEXT))
     wanted = json_keys.members(column(text), [*names, counter])
@@ -111,11 +117,15 @@ def key_json(df: DataFrame, keys: str | Sequence[str], counter: str, text: str =
     return Keyed(computed.drop(MEMBERS, TYPES, VALUE), tuple(key_columns), tuple(df.columns))
 
 
-def key_records(df: DataFrame, keys: str | Sequence[str], counter: str) -> Keyed:
-    """Key and counter columns of typed records; the counter must be an integer column."""
+def key_records(df: DataFrame, keys: str | Sequence[str], counter: str, misfit: str | None = None) -> Keyed:
+    """Key and counter columns of typed records; the counter must be an integer column.
+
+    `misfit` names a boolean column that is true for rows that are no records at all; it is not part of the payload.
+    """
     names = field_names(keys)
     counter = counter.strip()
-    refuse_own_names(df)
+    payload = [c for c in df.columns if c != misfit]
+    refuse_own_names(df.select(*[column(c) for c in payload]))
     absent = [name for name in [*names, counter] if name not in df.columns]
     if absent:
         raise ValueError(f"no such field: {', '.join(absent)}")
@@ -126,9 +136,10 @@ def key_records(df: DataFrame, keys: str | Sequence[str], counter: str) -> Keyed
     missing_key = F.lit(False)
     for name in names:
         missing_key = missing_key | column(name).isNull()
-    reason = F.when(missing_key, MISSING_KEY).when(column(counter).isNull(), MISSING_COUNTER)
+    reason = F.when(F.col(misfit) if misfit else F.lit(False), MISFIT).when(missing_key, MISSING_KEY).when(
+        column(counter).isNull(), MISSING_COUNTER)
     rows = df.withColumns({**key_columns, COUNTER: column(counter).cast("bigint"), REASON: reason})
-    return Keyed(rows, tuple(key_columns), tuple(df.columns))
+    return Keyed(rows.drop(misfit) if misfit else rows, tuple(key_columns), tuple(payload))
 
 
 def _comparable(value: Column, data_type: T.DataType) -> Column:
@@ -160,30 +171,44 @@ def with_previous_max(
     """Add the greatest earlier counter of the same key, NULL for the first row of a key.
 
     `split_width` is the length, in units of the first order column, of the buckets that keys are cut into. None keeps
-    every key whole. The maxima of the buckets take a pass over the key, order and counter columns alone.
+    every key whole.
     """
     order = order_columns(rows, order_by)
     if split_width is None:
         window = Window.partitionBy(*keys).orderBy(*[column(c) for c in order]).rowsBetween(*EARLIER)
         return rows.withColumn(PREVIOUS, F.max(COUNTER).over(window))
 
-    bucketed = rows.withColumn(BUCKET, _bucket(rows, order[0], split_width))
     group = [*keys, BUCKET]
-    in_bucket = Window.partitionBy(*group).orderBy(*[column(c) for c in order]).rowsBetween(*EARLIER)
+    dealt = _dealt(rows, keys, _bucket(rows, order[0], split_width))
+    in_bucket = Window.partitionBy(*group).orderBy(*[F.col(ROW).getField(c) for c in order]).rowsBetween(*EARLIER)
     over_buckets = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(*EARLIER)
     carried = (
-        bucketed.groupBy(*group)
-        .agg(F.max(COUNTER).alias(GREATEST))
+        # Asking for the row keeps its columns in what is dealt, so that it is the same for both readers.
+        dealt.groupBy(*group)
+        .agg(F.max(F.when(F.col(ROW).isNotNull(), F.col(COUNTER))).alias(GREATEST))
         .withColumn(CARRIED, F.max(GREATEST).over(over_buckets))
         .where(F.col(CARRIED).isNotNull())
         .select(*group, CARRIED)
     )
-    return (
-        bucketed.withColumn(INSIDE, F.max(COUNTER).over(in_bucket))
-        .join(carried, group, "left")
-        .withColumn(PREVIOUS, F.greatest(INSIDE, CARRIED))
-        .drop(INSIDE, CARRIED, BUCKET)
-    )
+    compared = dealt.withColumn(INSIDE, F.max(COUNTER).over(in_bucket)).join(carried, group, "left")
+    previous = F.greatest(INSIDE, CARRIED).alias(PREVIOUS)
+    others = [c for c in rows.columns if c not in (*keys, COUNTER)]
+    unpacked = compared.select(*keys, COUNTER, previous, F.inline(F.array(ROW)).alias(*[f"{OWN}{i}" for i in range(len(others))]))
+    names = {c: f"{OWN}{i}" for i, c in enumerate(others)}
+    return unpacked.select(*[F.col(names.get(c, c)).alias(c) for c in rows.columns], PREVIOUS)
+
+
+def _dealt(rows: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    """The rows by key and bucket, other columns packed into one.
+
+    The optimizer must not see that the packed row is never null, or it would drop columns for one of the readers and
+    so read the source twice. Keys of usable rows are never null; saying so here keeps it from saying so for one reader.
+    """
+    others = [column(c).alias(c) for c in rows.columns if c not in (*keys, COUNTER)]
+    row = F.when(F.expr("spark_partition_id() >= 0"), F.struct(*others))
+    for key in keys:
+        rows = rows.where(column(key).isNotNull())
+    return rows.select(*keys, COUNTER, bucket.alias(BUCKET), row.alias(ROW)).repartition(*keys, BUCKET)
 
 
 def _bucket(rows: DataFrame, order_column: str, split_width: int) -> Column:
@@ -205,7 +230,7 @@ def keep_ascending(
     if keyed.rows.isStreaming:
         from millrace.streaming.state import keep_ascending_stateful
 
-        return keep_ascending_stateful(keyed, order_by)
+        return keep_ascending_stateful(keyed, order_by, split_width)
     compared = with_previous_max(keyed.usable, keyed.keys, order_by, split_width)
     return compared.where(ascends()).select(*keyed.payload_columns)
 

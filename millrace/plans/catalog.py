@@ -17,6 +17,7 @@ from millrace.operators.flatten import flatten
 from millrace.operators.parse import malformed_lines, parse_records
 from millrace.plans import jobs
 from millrace.session import scratch_folder
+from millrace.sinks import console
 from millrace.sinks.events import append_events
 from millrace.sources import events as stream
 from millrace.sources.generator import sample_event_lines, sample_events
@@ -38,6 +39,17 @@ NOTE_SCHEMA = json.dumps({
         {"name": "id", "type": "long"}, {"name": "note", "type": ["null", "string"]},
     ],
 })
+AMOUNT_SCHEMA = json.dumps({
+    "type": "record", "name": "Amount", "fields": [
+        {"name": "id", "type": "long"},
+        {"name": "amount", "type": {"type": "bytes", "logicalType": "decimal", "precision": 38, "scale": 4}},
+    ],
+})
+ANSWER_SCHEMA = json.dumps({
+    "type": "record", "name": "Answer", "fields": [
+        {"name": "id", "type": "long"}, {"name": "answer", "type": ["null", "int", "string"]},
+    ],
+})
 ORDER_SCHEMA = json.dumps({
     "type": "record", "name": "OrderLines", "fields": [
         {"name": "orderkey", "type": "long"},
@@ -121,6 +133,13 @@ def dedup_object_key(spark, folder):
     return dedup.dedup_json(rows, "source", "counter", "event_id")
 
 
+def dedup_repeated_names(spark, folder):
+    """A key object that repeats a member name, of which the last counts."""
+    line = F.format_string('{"source":{"user":0,"kind":7,"user":%d},"counter":%d}', "user_id", "counter")
+    rows = events(spark, folder).select("event_id", line.alias("line"))
+    return dedup.dedup_json(rows, "source", "counter", "event_id")
+
+
 def dedup_key_types(spark, folder):
     forms = ["1", "1.0", "1e0", '"1"', "null", "true", "[1,2]", "[2,1]", '{"a":1,"b":[2]}', '{"b":[2],"a":1}',
              "[1,1.0]", "[1.0,1]", '{"a":[1,2.5]}', '{"a":[1.0,2.5]}']
@@ -178,6 +197,32 @@ def dedup_stream(spark, folder):
     return spark.read.schema("value string").text(output).select(F.col("value").alias("line"))
 
 
+def dedup_parallelism(spark, folder):
+    """The CSV job with a parallelism of its own and few appends in a batch."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    path = published(spark, events(spark, folder), "event_id", "cast(user_id as string)", appends=3)
+    output = scratch_folder(spark, "csv")
+    options = Options({
+        "input-stream": path, "output": output, "endAtTail": "true", "avroSchema": encoded(EVENT_SCHEMA),
+        "keyFieldNames": "user_id", "counterFieldName": "counter", "parallelism": "3", "appendsPerBatch": "2",
+    })
+    try:
+        finished(jobs.stream_to_csv_file(spark, options))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return spark.read.schema("value string").text(output).select(F.col("value").alias("line"))
+
+
+def rolled_files(spark, folder):
+    """The text file job over four appends, one a micro-batch: the lines that each batch rolled into files of its own."""
+    path = published(spark, events(spark, folder), "event_id", appends=4)
+    output = scratch_folder(spark, "lines")
+    options = Options({"input-stream": path, "output": output, "endAtTail": "true", "appendsPerBatch": "1"})
+    finished(jobs.stream_to_file(spark, options))
+    lines = spark.read.text(output).select(F.substring_index("batch", "-", -1).cast("bigint").alias("batch"))
+    return lines.groupBy("batch").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def dedup_stream_hot(spark, folder):
     """The stream-to-stream job with one key that holds a third of all events, and so is split."""
     key = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
@@ -240,6 +285,39 @@ def parse_optional(spark, folder):
     return parse_records(lines, parse_avro_schema(NOTE_SCHEMA))
 
 
+def amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Unscaled numbers as JSON text of their bytes: small and 38 digits long, of either sign, in few bytes and in many."""
+    top = 10**38 - 1
+    high, low = hex(top >> 64)[2:].upper(), top & (2**64 - 1)
+    inverted = f"{(2**128 - 1 - top) >> 64:016X}"
+    digits = F.expr(f"""case event_id % 4
+        when 0 then if(length(hex(event_id)) % 2 = 0, '00', '0') || hex(event_id)
+        when 1 then hex(-event_id)
+        when 2 then '{high}' || lpad(hex({low} - event_id), 16, '0')
+        else '{inverted}' || hex(event_id - {low}) end""")
+    text = F.regexp_replace(digits, "(..)", r"\\u00$1")
+    line = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"amount":"'), text, F.lit('"}'))
+    return table(spark, folder, "events").select("event_id", line.alias("line"))
+
+
+def parse_decimals(spark, folder):
+    """Decimals of up to 38 digits from the bytes of their unscaled values."""
+    rows = parse_records(amounts(spark, folder), parse_avro_schema(AMOUNT_SCHEMA))
+    return rows.select("id", F.col("amount").cast("string").alias("amount"))
+
+
+def parse_unions(spark, folder):
+    """A field that is null, a number or a text."""
+    answer = (
+        F.when(F.col("turn") % 3 == 1, F.concat(F.lit('{"int":'), F.col("turn").cast("string"), F.lit("}")))
+        .when(F.col("turn") % 3 == 2, F.to_json(F.struct(F.col("text").alias("string"))))
+        .otherwise("null")
+    )
+    line = F.concat(F.lit('{"answer":'), answer, F.lit(',"id":'), F.col("conv_id").cast("string"), F.lit("}"))
+    rows = parse_records(table(spark, folder, "conversations").select(line.alias("line")), parse_avro_schema(ANSWER_SCHEMA))
+    return rows.select("id", F.col("answer.member0").alias("number"), F.col("answer.member1").alias("text"))
+
+
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lineitem rows packed into parallel arrays of at most eight lines of one order."""
     items = table(spark, folder, "lineitem").withColumn("part", F.expr("cast(l_linenumber div 8 as bigint)"))
@@ -272,6 +350,19 @@ def csv_lines(spark, folder):
     return rows.select("c_custkey", render.csv_line(rows, null_value="").alias("line"))
 
 
+def csv_nested(spark, folder):
+    """Arrays of records, maps in arrays, and a record with bytes, a null and an array."""
+    name, kind, nation = F.col("c_name"), F.col("c_mktsegment"), F.col("c_nationkey")
+    entry = lambda number, text: F.struct(number.alias("nation"), text.alias("name"))
+    rows = table(spark, folder, "customer").select(
+        "c_custkey",
+        F.array(entry(nation, name), entry(F.lit(None).cast("int"), kind)).alias("entries"),
+        F.array(F.create_map(F.lit("k"), nation)).alias("maps"),
+        F.struct(kind.cast("binary").alias("raw"), F.array(name, F.lit(None)).alias("tags"), F.lit(True).alias("good")).alias("r"),
+    )
+    return rows.select("c_custkey", render.csv_line(rows).alias("line"))
+
+
 def csv_quoted(spark, folder):
     rows = table(spark, folder, "documents").select("doc_id", "lang", "text")
     return rows.select("doc_id", render.csv_line(rows, null_value="", quote=True).alias("line"))
@@ -292,6 +383,13 @@ def utf8_round_trip(spark, folder):
     return rows.select("doc_id", render.utf8_text(F.col("event")).alias("text"))
 
 
+def utf8_invalid(spark, folder):
+    """Bytes that are no UTF-8, in the middle and cut off at the end."""
+    broken = F.concat(F.col("source").cast("binary"), F.unhex(F.lit("FF")), F.col("lang").cast("binary"), F.unhex(F.lit("C3")))
+    rows = table(spark, folder, "documents").where("source is not null and lang is not null")
+    return rows.select("doc_id", render.utf8_text(broken).alias("text"))
+
+
 def hour_buckets(spark, folder):
     rows = table(spark, folder, "events")
     return rows.select("event_id", render.hour_bucket(F.col("ts")).alias("bucket"))
@@ -344,6 +442,17 @@ def read_from_tail(spark, folder):
     return stream.as_text(stream.read_events(spark, path, tail)).select("line")
 
 
+def console_lines(spark, folder):
+    """What the console job prints of a stream that the table was written to."""
+    path = published(spark, events(spark, folder), "event_id", "cast(user_id as string)", appends=2)
+    return jobs.console_lines(stream.read_events(spark, path)).select("line")
+
+
+def output_log(spark, folder):
+    """What the record jobs log of their output: records as JSON after a word that marks them."""
+    return console.record_lines(table(spark, folder, "events").select("event_id", "user_id", "event_type"))
+
+
 def stream_copy(spark, folder):
     """The stream-to-stream job with a fixed routing key, read back."""
     path = published(spark, events(spark, folder), "event_id", "cast(user_id as string)", appends=2)
@@ -417,6 +526,7 @@ QUERIES = {
         dedup_stateful, parse_json, parse_drop, parse_malformed, parse_optional, flatten_arrays, flatten_embeddings,
         csv_lines, csv_quoted, json_lines, timestamp_texts, utf8_round_trip, hour_buckets,
         read_range, stream_info, text_scan, binary_scan, read_from_tail, stream_copy, route_events, writers_take_turns,
-        generate_events, csv_job, parquet_job,
+        generate_events, csv_job, parquet_job, parse_decimals, parse_unions, csv_nested, utf8_invalid, dedup_repeated_names,
+        dedup_parallelism, rolled_files, console_lines, output_log,
     )
 }

@@ -19,11 +19,11 @@ from millrace.functions.columns import column
 from millrace.functions.render import csv_line, utf8_bytes
 from millrace.operators import dedup
 from millrace.operators.flatten import flatten
-from millrace.operators.parse import malformed_lines, parse_records
+from millrace.operators.parse import FITS, parse_records, records_or_not
 from millrace.session import scratch_folder
 from millrace.sinks.console import print_lines, print_records
 from millrace.sinks.events import append_events
-from millrace.sinks.files import write_batch
+from millrace.sinks.files import write_batch, written_batch
 from millrace.sources import events as stream
 from millrace.sources.generator import event_numbers, sample_event_lines, sample_events
 from millrace.streaming import marks
@@ -34,8 +34,9 @@ COPY_INTERVAL_MS = 10_000
 
 log = logging.getLogger("millrace")
 
-# Stream columns under names that no record field has.
-SEGMENT, OFFSET, EVENT = "_segment", "_offset", "_event"
+# Stream columns under names that no Avro field can have.
+SEGMENT, OFFSET, EVENT, LINE = "millrace:segment", "millrace:offset", "millrace:event", "millrace:line"
+UNFIT = "millrace:unfit"
 ORDER = (OFFSET, SEGMENT)
 
 
@@ -52,42 +53,64 @@ def _text_lines(events: DataFrame) -> DataFrame:
 
 
 class Batch:
-    """One micro-batch of a job: its number, and what to log and keep of the rows it rejects."""
+    """One micro-batch of a job: its number, and what to log and keep of the rows it rejects.
+
+    With dedup, the keyed rows of a batch are written beside the checkpoint before anything else, so that events are
+    parsed once: marks, counts, comparison and output read what is there. If rejects are wanted, so are the judged rows,
+    from which both outputs are read. A batch that runs again writes both anew.
+    """
 
     def __init__(self, options: Options, writer: str, batch_id: int):
         self.options = options
         self.batch_id = batch_id
         self.name = f"{writer}-{batch_id}"
+        self.folder = f"{checkpoint_folder(options)}/batch/{batch_id}"
         self.deduplicated = False
         self.kept: Observation | None = None
-        self.rejected: list[DataFrame] = []
+        self.rejected: DataFrame | None = None
+
+    @property
+    def with_rejects(self) -> bool:
+        return bool(self.options.get("rejectsOutput"))
+
+    def written(self, rows: DataFrame, name: str) -> DataFrame:
+        folder = f"{self.folder}/{name}"
+        rows.write.mode("overwrite").parquet(folder)
+        return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
     def deduplicate(self, keyed: dedup.Keyed) -> DataFrame:
         """Rows that rise over all earlier ones of this and the earlier batches."""
         self.kept, self.deduplicated = Observation(), True
+        keyed = dedup.Keyed(self.written(keyed.rows, "keyed"), keyed.keys, keyed.payload)
         compared = marks.compare_batch(keyed, marks_folder(self.options), self.batch_id, ORDER, _split_width(self.options))
-        if self.options.get("rejectsOutput"):
-            self.reject(marks.rejects(keyed, compared))
-        return marks.kept(keyed, compared).observe(self.kept, F.count(F.lit(1)).alias("rows"))
+        kept = self.split(marks.judged(keyed, compared)) if self.with_rejects else marks.kept(keyed, compared)
+        return kept.observe(self.kept, F.count(F.lit(1)).alias("rows"))
 
-    def reject(self, rows: DataFrame) -> None:
-        """Remember rows, with their `reason`, for the rejects folder."""
-        fields = [c for c in rows.columns if c not in (SEGMENT, OFFSET, "reason")]
-        event = F.to_json(F.struct(*[column(c) for c in fields])) if fields != ["line"] else F.col("line")
-        self.rejected.append(rows.select(SEGMENT, OFFSET, "reason", event.alias("event")))
+    def split(self, judged: DataFrame) -> DataFrame:
+        """The rows whose `REASON` is null; the others are remembered for the rejects folder."""
+        judged = self.written(judged, "judged")
+        self.rejected = judged.where(F.col(dedup.REASON).isNotNull())
+        return judged.where(F.col(dedup.REASON).isNull()).drop(dedup.REASON)
 
     def finish(self, written: bool = True) -> None:
-        """After the output: write the rejects if they are wanted, and log the counts.
+        """After the output: write the rejects if they are wanted, log the counts, drop what was kept of the batch.
 
         `written` is false for a batch whose output was there already: it was not computed again, so nothing was
         counted.
         """
-        if self.options.get("rejectsOutput"):
-            for number, rows in enumerate(self.rejected):
-                folder = f"{self.options.get('rejectsOutput').rstrip('/')}/batch={self.name}/part={number}"
-                rows.write.mode("overwrite").json(folder)
+        spark = SparkSession.active()
+        if self.rejected is not None:
+            rows = self.rejected
+            fields = [c for c in rows.columns if c not in (SEGMENT, OFFSET, LINE, dedup.REASON)]
+            event = F.to_json(F.struct(*[column(c) for c in fields])) if fields != ["line"] else F.col("line")
+            # Text that is no record stands there as it came.
+            event = F.coalesce(F.col(LINE), event) if LINE in rows.columns else event
+            rows = rows.select(
+                F.col(SEGMENT).alias("_segment"), F.col(OFFSET).alias("_offset"), F.col(dedup.REASON).alias("reason"),
+                event.alias("event"))
+            rows.write.mode("overwrite").json(f"{self.options.get('rejectsOutput').rstrip('/')}/batch={self.name}")
         if written and self.deduplicated:
-            unusable = marks.counts(SparkSession.active(), marks_folder(self.options), self.batch_id)
+            unusable = marks.counts(spark, marks_folder(self.options), self.batch_id)
             usable = unusable.pop(None, 0)
             # Spark cuts an observation out of a plan that it finds empty; there is nothing to wait for then.
             kept = self.kept.get["rows"] if usable else 0
@@ -95,6 +118,8 @@ class Batch:
                 "batch %s: %s events, %s kept, %s duplicates, unusable: %s",
                 self.batch_id, usable + sum(unusable.values()), kept, usable - kept, dict(sorted(unusable.items())) or "none",
             )
+        files, target = stream.hadoop_path(spark, self.folder)
+        files.delete(target, True)
 
 
 def _split_width(options: Options) -> int:
@@ -138,13 +163,23 @@ def records(
     schema = options.avro_schema(read_file)
     dedup_on = dedup.dedup_enabled(options.keys, options.counter)
     on_error = options.get("onError") or ("drop" if dedup_on else "fail")
-    lines = _text_lines(events)
-    if batch and on_error == "drop" and options.get("rejectsOutput"):
-        batch.reject(malformed_lines(lines, schema).withColumn("reason", F.lit("does not fit the schema")))
-    parsed = parse_records(lines, schema, "line", on_error, keep=(SEGMENT, OFFSET))
+    lines = _text_lines(events).withColumnRenamed("line", LINE)
+    if on_error == "fail":
+        parsed = parse_records(lines, schema, LINE, on_error, keep=(SEGMENT, OFFSET))
+    else:
+        with_text = [LINE] if batch and batch.with_rejects else []
+        parsed = records_or_not(lines, schema, LINE, keep=(SEGMENT, OFFSET, *with_text))
+        if with_text:
+            parsed = parsed.withColumn(LINE, F.when(~F.col(FITS), F.col(LINE)))
+        parsed = parsed.withColumn(UNFIT, ~F.col(FITS)).drop(FITS)
+    unfit = UNFIT if UNFIT in parsed.columns else None
     if dedup_on:
-        parsed = _deduplicated(dedup.key_records(parsed, options.keys, options.counter), options, batch)
-    parsed = parsed.drop(SEGMENT, OFFSET)
+        parsed = _deduplicated(dedup.key_records(parsed, options.keys, options.counter, unfit), options, batch)
+    elif unfit and batch and batch.with_rejects:
+        parsed = batch.split(parsed.withColumn(dedup.REASON, F.when(F.col(UNFIT), dedup.MISFIT)).drop(UNFIT))
+    elif unfit:
+        parsed = parsed.where(~F.col(UNFIT)).drop(UNFIT)
+    parsed = parsed.drop(SEGMENT, OFFSET, LINE)
     if options.flag("flatten"):
         parsed = flatten(parsed, options.get("onMismatch", "fail"))
     return parsed
@@ -217,11 +252,16 @@ def _console_options(spark: SparkSession, options: Options) -> Options:
     return Options({**options.values, "checkpointLocation": scratch_folder(spark, "console")})
 
 
+def console_lines(events: DataFrame) -> DataFrame:
+    """Event text as the console job prints it."""
+    return _text_lines(events)
+
+
 def stream_to_console(spark: SparkSession, options: Options) -> StreamingQuery:
     options = _console_options(spark, options)
 
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
-        print_lines(_text_lines(events))
+        print_lines(console_lines(events))
 
     return _follow(spark, options, "stream-to-console", handle, COPY_INTERVAL_MS)
 
@@ -246,9 +286,9 @@ def stream_to_csv_file(spark: SparkSession, options: Options) -> StreamingQuery:
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
         batch = Batch(options, writer, batch_id)
         lines = csv_lines(records(events, options, read_file, batch), options)
-        if options.flag("logOutputRecords"):
-            print_lines(lines, prefix="output")
         write_batch(lines, output, batch.name, bucket)
+        if options.flag("logOutputRecords"):
+            print_lines(written_batch(lines, output, batch.name, bucket), prefix="output")
         batch.finish()
 
     return _follow(spark, options, "stream-to-csv-file", handle, FILE_INTERVAL_MS)
@@ -262,9 +302,9 @@ def stream_to_parquet_file(spark: SparkSession, options: Options) -> StreamingQu
     def handle(events: DataFrame, batch_id: int, bucket: str) -> None:
         batch = Batch(options, writer, batch_id)
         rows = records(events, options, read_file, batch)
-        if options.flag("logOutputRecords"):
-            print_records(rows)
         write_batch(rows, output, batch.name, bucket, "parquet")
+        if options.flag("logOutputRecords"):
+            print_records(written_batch(rows, output, batch.name, bucket, "parquet"))
         batch.finish()
 
     return _follow(spark, options, "stream-to-parquet-file", handle, FILE_INTERVAL_MS)
@@ -304,7 +344,6 @@ def sample_data_generator(spark: SparkSession, options: Options) -> StreamingQue
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         lines = sample_event_lines(sample_events(batch, sensors, size))
-        print_lines(lines)
         append_events(
             lines,
             target.path,
@@ -315,6 +354,7 @@ def sample_data_generator(spark: SparkSession, options: Options) -> StreamingQue
             routing_key=F.col("sensorId").cast("string"),
             segments=target.segments,
         )
+        print_lines(stream.as_text(stream.read_append(spark, target.path, writer, batch_id)))
 
     return (
         numbers.writeStream.foreachBatch(handle)

@@ -48,6 +48,11 @@ KEY_CLASS = "CASE event_id % 14 WHEN 2 THEN 1 WHEN 9 THEN 8 ELSE event_id % 14 E
 
 CSV_TEXT = """CASE WHEN regexp_matches(text, '[",\\r\\n]') THEN '"' || replace(text, '"', '""') || '"' ELSE text END"""
 
+NUMBER = """CASE event_id % 4 WHEN 0 THEN event_id::HUGEINT WHEN 1 THEN -(event_id::HUGEINT)
+    WHEN 2 THEN 99999999999999999999999999999999999999::HUGEINT - event_id
+    ELSE event_id - 99999999999999999999999999999999999999::HUGEINT END"""
+NATION = "coalesce(CAST(c_nationkey AS VARCHAR), 'null')"
+
 MILLIS = "lpad(CAST((epoch_us(ts) // 1000) % 1000 AS VARCHAR), 3, '0')"
 MICROS = "lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0')"
 
@@ -81,6 +86,26 @@ ORACLES = {
         FROM {FLAWED} r WHERE flaw IS NULL""",
     "parse_malformed": f"SELECT event_id, line FROM {FLAWED} r WHERE flaw IS NOT NULL",
     "parse_optional": "SELECT conv_id AS id, CASE WHEN turn <> 0 THEN text END AS note FROM conversations",
+    "parse_decimals": f"""SELECT event_id AS id, CASE WHEN n < 0 THEN '-' ELSE '' END || (abs(n) // 10000) || '.'
+        || lpad(CAST(abs(n) % 10000 AS VARCHAR), 4, '0') AS amount FROM (SELECT event_id, {NUMBER} AS n FROM events) e""",
+    "parse_unions": """SELECT conv_id AS id, CASE WHEN turn % 3 = 1 THEN CAST(turn AS INTEGER) END AS number,
+        CASE WHEN turn % 3 = 2 THEN text END AS text FROM conversations""",
+    "csv_nested": f"""SELECT c_custkey, c_custkey || ',[{{"nation": ' || {NATION} || ', "name": "' || c_name
+        || '"}}, {{"nation": null, "name": "' || c_mktsegment || '"}}],[{{"k": ' || {NATION} || '}}],{{"raw": "' || c_mktsegment
+        || '", "tags": ["' || c_name || '", null], "good": true}}' AS line FROM customer""",
+    "utf8_invalid": "SELECT doc_id, source || chr(65533) || lang || chr(65533) AS text FROM documents "
+                    "WHERE source IS NOT NULL AND lang IS NOT NULL",
+    "dedup_repeated_names": ascending(
+        COUNTED, "user_id",
+        """event_id, '{"source":{"user":0,"kind":7,"user":' || user_id || '},"counter":' || counter || '}' AS line"""),
+    "dedup_parallelism": ascending(
+        COUNTED, "user_id", "user_id || ',' || event_type || ',' || counter || ',' || event_id AS line"),
+    "rolled_files": """SELECT batch, count(*) AS lines FROM (
+        SELECT CAST(len(list_filter([1, 2, 3], lambda k: event_id >= (size * k) // 4)) AS BIGINT) AS batch
+        FROM events, (SELECT max(event_id) + 1 AS size FROM events)) b GROUP BY batch""",
+    "console_lines": f"SELECT line FROM {LINES} l",
+    "output_log": """SELECT 'output> {"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"'
+        || event_type || '"}' AS line FROM events""",
     "flatten_arrays": """SELECT l_orderkey AS orderkey, CAST(l_linenumber // 8 AS BIGINT) AS part,
         l_linenumber AS linenumber, l_suppkey AS suppkey, l_extendedprice AS price FROM lineitem""",
     "flatten_embeddings": """SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS position, label,

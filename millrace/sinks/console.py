@@ -19,6 +19,11 @@ def print_lines(df: DataFrame, text: str = "line", prefix: str = "") -> None:
     df.select(text).foreachPartition(show)
 
 
-def print_records(df: DataFrame, prefix: str = "output") -> None:
+def record_lines(df: DataFrame, prefix: str = "output") -> DataFrame:
+    """Every record as one JSON object in `line`, nulls included, after the prefix."""
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
-    print_lines(df.select(record.alias("line")), "line", prefix)
+    return df.select(F.concat(F.lit(f"{prefix}> "), record).alias("line"))
+
+
+def print_records(df: DataFrame, prefix: str = "output") -> None:
+    print_lines(record_lines(df, prefix))

@@ -19,10 +19,19 @@ def _writer(df: DataFrame, file_format: str):
     return writer.option("compression", "snappy") if file_format == "parquet" else writer
 
 
+def _folder(output: str, batch: str, bucket: str) -> str:
+    return f"{output.rstrip('/')}/bucket={bucket}/batch={batch}"
+
+
 def write_batch(df: DataFrame, output: str, batch: str, bucket: str, file_format: str = "text") -> None:
     """Write one batch, all of it in one hourly directory. Text output takes a single string column."""
-    folder = f"{output.rstrip('/')}/bucket={bucket}/batch={batch}"
-    _writer(df, file_format).format(file_format).save(folder)
+    _writer(df, file_format).format(file_format).save(_folder(output, batch, bucket))
+
+
+def written_batch(df: DataFrame, output: str, batch: str, bucket: str, file_format: str = "text") -> DataFrame:
+    """What `write_batch` wrote of `df`, which is not computed again."""
+    folder = _folder(output, batch, bucket)
+    return df.sparkSession.read.schema(df.schema).option("basePath", folder).format(file_format).load(folder)
 
 
 def write_bucketed(

@@ -139,6 +139,11 @@ def read_appends(spark: SparkSession, path: str, appends: DataFrame, start: Cut
     return within(spark.read.schema(EVENT_SCHEMA).parquet(*folders), start, end)
 
 
+def read_append(spark: SparkSession, path: str, writer: str, batch: int) -> DataFrame:
+    """The events of one append."""
+    return spark.read.schema(EVENT_SCHEMA).parquet(f"{data_folder(path)}/{append_name(writer, batch)}")
+
+
 def read_events(spark: SparkSession, path: str, start: Cut | None = None, end: Cut | None = None) -> DataFrame:
     """All committed appends, between two cuts; appends outside of them are not opened."""
     return read_appends(spark, path, appends_within(read_positions(spark, path), start, end), start, end)

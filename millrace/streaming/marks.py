@@ -127,8 +127,12 @@ def kept(keyed: Keyed, compared: DataFrame) -> DataFrame:
     return compared.where(ascends()).select(*keyed.payload_columns)
 
 
+def judged(keyed: Keyed, compared: DataFrame) -> DataFrame:
+    """All rows of a compared batch with the reason why they are rejected in `REASON`, null for those that are kept."""
+    verdict = F.when(~ascends(), DUPLICATE).alias(REASON)
+    return compared.select(*keyed.payload_columns, verdict).unionByName(keyed.unusable.select(*keyed.payload_columns, REASON))
+
+
 def rejects(keyed: Keyed, compared: DataFrame) -> DataFrame:
     """The duplicates of a compared batch and its unusable rows, with the reason of each."""
-    duplicates = compared.where(~ascends()).select(*keyed.payload_columns, F.lit(DUPLICATE).alias("reason"))
-    unusable = keyed.unusable.select(*keyed.payload_columns, F.col(REASON).alias("reason"))
-    return duplicates.unionByName(unusable)
+    return judged(keyed, compared).where(F.col(REASON).isNotNull()).withColumnRenamed(REASON, "reason")

@@ -134,11 +134,36 @@ def test_lowest_positions_and_marks(spark):
 
 def test_no_key_stays_whole_however_many_are_hot(spark):
     """More hot keys than any list would hold: every bucket has `split_width` rows of a key at the most."""
-    df = spark.sql("select id as seq, id % 12000 as key, id div 12000 % 3 as counter from range(120000)")
-    compared = dedup.with_previous_max(dedup.key_records(df, "key", "counter").usable, ("key",), "seq", 24000)
-    assert compared.where(dedup.ascends()).count() == 36000
-    plan = plan_of(compared)
-    assert "BroadcastExchange" not in plan and plan.count("Range (") == 2
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # Spark may send what is small, but need not
+    try:
+        df = spark.sql("select id as seq, id % 12000 as key, id div 12000 % 3 as counter from range(120000)")
+        compared = dedup.with_previous_max(dedup.key_records(df, "key", "counter").usable, ("key",), "seq", 24000)
+        rows = compared.where(dedup.ascends())
+        assert len(rows.collect()) == 36000
+        plan = plan_of(rows).split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Broadcast" not in plan and plan.count("Range (") == 1 and plan.count("ReusedExchange") == 1
+
+
+@pytest.mark.parametrize("columns", [["line"], ["seq", "line", "extra"], ["extra"]])
+def test_events_are_read_once(columns, lines):
+    """Whatever is taken of the result, both readers find what was dealt."""
+    texts = [f'{{"k":{i % 3},"c":{i // 6}}}' for i in range(60)]
+    df = lines(texts).repartition(2).selectExpr("line", "seq", "line as extra", "seq as other")
+    kept = dedup.dedup_json(df, "k", "c", "seq", split_width=7).select(*columns)
+    assert len(kept.collect()) == 30
+    plan = plan_of(kept).split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and plan.count("Scan ExistingRDD") == 1
+
+
+def test_last_of_repeated_names_counts(lines):
+    texts = ['{"k":{"a":1,"a":2},"c":1}', '{"k":{"a":2},"c":1}', '{"k":{"a":1},"c":1}', '{"k":{"a":{"b":1,"b":[3]},"a":{"b":1,"b":[4]}},"c":1}',
+             '{"k":{"a":{"b":[4]}},"c":1}', '{"k":5,"k":6,"c":1}', '{"k":6,"c":0,"c":1}', '{"k":6,"c":1,"c":2}']
+    kept = dedup.dedup_json(lines(texts), "k", "c", "seq").orderBy("seq").collect()
+    assert [row.seq for row in kept] == [0, 2, 3, 5, 7]
+    assert dedup.dedup_json_rejects(lines(texts), "k", "c", "seq").where("reason <> 'duplicate'").count() == 0
 
 
 def test_names_of_the_payload_are_its_own(spark):

@@ -3,6 +3,7 @@ import json
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 from scenarios import SCENARIOS
 from test_streams import publish, run, texts_of
 
@@ -103,6 +104,33 @@ def test_rejects_are_logged_and_written(spark, tmp_path, caplog):
     assert counts == {"duplicate": 2, "does not fit the schema": 2}
 
 
+@pytest.mark.parametrize("job, dedup_on", [("stream-to-parquet-file", True), ("stream-to-csv-file", False), ("stream-to-file", True)])
+def test_events_are_parsed_once_a_batch(job, dedup_on, spark, tmp_path, monkeypatch):
+    """With rejects and a log of the output as well: one write parses, all else reads what was written."""
+    plans = []
+    for name in ("parquet", "json", "save"):
+        def noted(self, *args, _write=getattr(DataFrameWriter, name), **kwargs):
+            plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+            return _write(self, *args, **kwargs)
+
+        monkeypatch.setattr(DataFrameWriter, name, noted)
+    printed = []
+    monkeypatch.setattr(jobs, "print_lines", lambda df, prefix="": printed.append(df))
+    monkeypatch.setattr(jobs, "print_records", lambda df, prefix="": printed.append(df))
+    publish(spark, str(tmp_path / "in"), [reading(0, 1), reading(0, 1), "bad", reading(0, 2)])
+    plans.clear()
+    keys = {"keyFieldNames": "station", "counterFieldName": "seq"} if dedup_on else {}
+    run(jobs.JOBS[job](spark, options(
+        tmp_path, avroSchema=base64.b64encode(READING.encode()).decode(), logOutputRecords="true", onError="drop",
+        rejectsOutput=str(tmp_path / "rejects"), **keys)))
+    plans += [df._jdf.queryExecution().optimizedPlan().toString() for df in printed]
+    assert sum("from_json" in plan for plan in plans) == 1 and len(plans) > 3
+    assert printed or job == "stream-to-file"
+    assert not list((tmp_path / "out" / "_checkpoint" / "batch").glob("*"))
+    rejects = spark.read.schema("reason string, event string").json(str(tmp_path / "rejects"))
+    assert sorted(row.event for row in rejects.where("reason <> 'duplicate'").collect()) == ["bad"]
+
+
 def test_end_at_tail_is_fixed_at_first_start(spark, tmp_path):
     path = str(tmp_path / "in")
     publish(spark, path, ["a", "b"])

@@ -1,14 +1,17 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from scenarios import SCENARIOS
 
 from millrace.operators import dedup
+from millrace.operators.dedup import COUNTER
 from millrace.sinks import events as events_sink
 from millrace.sinks.events import append_events
 from millrace.sinks.files import write_bucketed
 from millrace.sources import events as stream
+from millrace.streaming import state
 from millrace.streaming.follow import follow
 
 
@@ -211,6 +214,84 @@ def test_stateful_types_and_large_counters(spark, tmp_path):
     )
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_stateful_hot_key_in_bounded_memory(zone, spark, tmp_path, monkeypatch):
+    """One key holds a third of the rows of each micro-batch and is put aside in buckets; order is by time, over a change
+    of the clocks."""
+    monkeypatch.setattr(state, "HELD_ROWS", 50)
+    monkeypatch.setattr(state, "WIDEST", 40_000_000)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        rng, path = random.Random(11), str(tmp_path / "t")
+        rows = [(1604196000 * 10**6 + i * 9_000_000, "hot" if i % 3 else rng.choice("abc"), rng.randrange(i + 40), f"é{i}") for i in range(1500)]
+        schema = "micros bigint, key string, counter bigint, note string"
+        for part in range(2):
+            mixed = rows[part * 750:(part + 1) * 750]
+            rng.shuffle(mixed)
+            spark.createDataFrame(mixed, schema).selectExpr("timestamp_micros(micros) as ts", "key", "counter", "note").coalesce(1).write.mode(
+                "append").parquet(path)
+        source = spark.readStream.schema("ts timestamp, key string, counter bigint, note string").parquet(path)
+        kept = dedup.dedup_records(source, "key", "counter", "ts")
+        output = str(tmp_path / "o")
+        run(kept.writeStream.format("parquet").option("path", output).option("checkpointLocation", str(tmp_path / "c"))
+            .trigger(availableNow=True).start())
+        batch = dedup.dedup_records(spark.read.parquet(path), "key", "counter", "ts")
+        found = sorted(map(tuple, spark.read.schema(kept.schema).parquet(output).collect()))
+        assert found == sorted(map(tuple, batch.collect())) and len(found) > 20
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+class Store:
+    """A map and a value as the state store gives them."""
+
+    def __init__(self):
+        self.rows, self.most = {}, 0
+
+    def exists(self):
+        return None in self.rows
+
+    def get(self):
+        return self.rows[None]
+
+    def update(self, value):
+        self.rows[None] = value
+
+    def getValue(self, key):
+        return self.rows[key]
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+
+@pytest.mark.parametrize("held", [20, 10_000])
+def test_a_key_is_taken_in_parts(held):
+    """However many rows a key has, no more than a bucket of them is compared at a time."""
+    rng = random.Random(4)
+    rows = [(i if i else None, 2**60 + rng.randrange(3000), f"p{i}") for i in range(3000)]
+    best, want = -(2**63), []
+    for _, counter, text in rows:
+        if counter > best:
+            best = counter
+            want.append(text)
+    rng.shuffle(rows)
+    frames = [pd.DataFrame({"seq": pd.array([r[0] for r in rows[i:i + 16]], dtype="Int64"), COUNTER: [r[1] for r in rows[i:i + 16]],
+                            "text": [r[2] for r in rows[i:i + 16]]}) for i in range(0, 3000, 16)]
+    processor = state.GreatestCounter(["seq", COUNTER, "text"], ["seq"], ["text"], 100, held)
+    processor.greatest, processor.waiting = Store(), Store()
+    sizes, risen = [], processor._risen
+    processor._risen = lambda part: sizes.append(len(part)) or risen(part)
+    out = [text for frame in processor.handleInputRows(("k",), iter(frames), None) for text in frame["text"]]
+    assert out == want and not processor.waiting.rows and processor.greatest.get() == (best,)
+    assert max(sizes) <= 101 if held == 20 else sizes == [3000]
+
+
 def test_bucketed_files(spark, tmp_path):
     df = spark.sql(
         "select 'a' as line, timestamp'2020-05-10 18:59:59' as ts union all select 'b', timestamp'2020-05-10 19:00:00'"
