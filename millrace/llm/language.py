@@ -16,7 +16,7 @@ from millrace.llm.common import by_batch, crc32_mod, rows_by_batch
 
 #: The model is fitted on at most MAX_TRAIN texts, MAX_PER_LANGUAGE of a language, and on MAX_WORDS words of each, drawn
 #: over the whole text, beside PIECES short pieces of up to PIECE_WORDS words.
-MAX_TRAIN, MAX_PER_LANGUAGE, MAX_WORDS, PIECES, PIECE_WORDS = 8000, 1500, 120, 3, 8
+MAX_TRAIN, MAX_PER_LANGUAGE, MAX_WORDS, PIECES, PIECE_WORDS = 6000, 1500, 80, 3, 8
 #: Rows and columns of the embedding, lengths of subwords, and the descent.
 BUCKETS, WIDTH, SIZES, EPOCHS, BATCH, RATE = 1 << 15, 16, (2, 3, 4), 5, 64, 0.5
 #: One text in CALIBRATED is kept out of the descent to set the scale of scores and the score from which predictions
@@ -120,7 +120,7 @@ def training_texts(docs: DataFrame, folds: int, held: int) -> DataFrame:
     return usable.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).select("lang", "key", "text")
 
 
-def examples(text: str, key: int) -> list[list[int]]:
+def examples(text: str, key: int) -> list[np.ndarray]:
     """Buckets of words drawn over the whole text, and of short pieces of it."""
     words, rng = words_of(text), random.Random(key)
     if not words:
@@ -129,38 +129,37 @@ def examples(text: str, key: int) -> list[list[int]]:
     for _ in range(PIECES):
         at = rng.randrange(len(words))
         drawn.append(words[at:at + rng.randint(1, PIECE_WORDS)])
-    return [np.sort(subwords(ws)[0]).tolist() for ws in drawn]
+    return [np.sort(subwords(ws)[0]) for ws in drawn]
 
 
 def fit(docs: DataFrame) -> Model:
     """A model of `docs.lang`; tasks turn texts into buckets, of which the driver gets a bounded number."""
     def each(batches):
         for batch in batches:
-            rows = [(lang, key, ids) for lang, key, text in zip(*(c.to_pylist() for c in batch.columns)) for ids in examples(text, key)]
+            rows = [(lang, key, nth, ids) for lang, key, text in zip(*(c.to_pylist() for c in batch.columns))
+                    for nth, ids in enumerate(examples(text, key))]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.string(), pa.int64(), pa.list_(pa.int32())))], names=["lang", "key", "ids"])
+                (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int32())))], names=["lang", "key", "nth", "ids"])
 
-    found = rows_by_batch(training_texts(docs, 3, 1), "lang string, key bigint, ids array<int>", each).toPandas()
-    rows = sorted(zip(found["lang"], found["key"], map(tuple, found["ids"])))
-    languages = sorted({lang for lang, _, _ in rows})
-    number = {lang: i for i, lang in enumerate(languages)}
-    return learn(languages, [ids for _, _, ids in rows], np.array([number[lang] for lang, _, _ in rows], dtype=np.int64),
-                 np.array([key % CALIBRATED == 0 for _, key, _ in rows], dtype=bool))
+    found = rows_by_batch(training_texts(docs, 3, 1), "lang string, key bigint, nth int, ids array<int>", each).toArrow().combine_chunks()
+    languages, y = np.unique(np.array(found["lang"].to_pylist(), dtype=object).astype(str), return_inverse=True)
+    key, nth = found["key"].to_numpy(), found["nth"].to_numpy()
+    order = np.lexsort((nth, key, y))  # the same whatever task had which text
+    ids = [part.values.to_numpy() for part in found["ids"].combine_chunks()] if len(order) else []
+    return learn(languages.tolist(), [ids[i] for i in order], y[order], key[order] % CALIBRATED == 0)
 
 
-def learn(languages: list[str], ids: list[tuple[int, ...]], y: np.ndarray, apart: np.ndarray) -> Model:
+def learn(languages: list[str], ids: list[np.ndarray], y: np.ndarray, apart: np.ndarray) -> Model:
     """Stochastic gradient descent on all examples but those `apart`, on which scores are then calibrated."""
     if not languages:
         return Model([], np.zeros((0, 0)), np.zeros(0))
     rng = np.random.default_rng(3)
     embedding = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH))
     output, bias = np.zeros((WIDTH, len(languages))), np.zeros(len(languages))
-    lengths = np.array([len(i) for i in ids])
-    flat, starts = np.concatenate([np.array(i, dtype=np.int64) for i in ids]), np.concatenate([[0], np.cumsum(lengths)])
 
     def batch_of(chosen):
-        at = np.concatenate([flat[starts[i]:starts[i + 1]] for i in chosen])
-        n = lengths[chosen]
+        n = np.array([len(ids[i]) for i in chosen])
+        at = np.concatenate([ids[i] for i in chosen])
         return at, n, np.add.reduceat(embedding[at], np.cumsum(n) - n, axis=0) / n[:, None]
 
     used = np.flatnonzero(~apart) if (~apart).any() else np.arange(len(y))

@@ -10,8 +10,10 @@ from millrace.llm.common import WORD_GAP, materialise, packed, unpacked
 #: Fixed values of the base rules.
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
-#: Share of a group that the estimates rest on, refinements of the subset, and the least size of a group with its own.
-SHARE, STEPS, MIN_GROUP = 0.75, 4, 50
+#: Share of a group that the estimates rest on, and refinements of the subset.
+SHARE, STEPS = 0.75, 4
+#: The estimate of a language and source with n documents counts n / (n + LENT), that of the language the rest.
+LENT = 50
 #: Least standard deviation of each transformed statistic: closer values count as equal.
 FLOOR = {"length": 0.05, "symbols": 0.06, "capitals": 0.05, "repeats": 0.12, "lines": 0.15, "marks": 0.04}
 #: A document is an outlier beyond this squared distance: the chi-squared quantile of 6 degrees at 1 - 1e-9, doubled,
@@ -69,19 +71,26 @@ def _failed() -> Column:
 
 
 def _moments(points: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean and inverse Cholesky factor of the covariance of each group, from sums that are aggregated before the shuffle.
+    """Mean and covariance of each group, from sums that are aggregated before the shuffle, with the factor of `_factored`.
 
-    The floors are added to the diagonal, so the factor exists for groups of one point or of equal points as well. The
-    factor is given row by row, without the zeros above its diagonal.
+    The floors are added to the diagonal, so the factor exists for groups of one point or of equal points as well.
     """
     d = range(len(NAMES))
+    floor = lambda i, j: F.lit(FLOOR[NAMES[i]] ** 2 if i == j else 0.0)
     sums = points.groupBy(*keys).agg(
         F.array(*[F.avg(name) for name in NAMES]).alias("mean"),
-        *[F.covar_pop(NAMES[i], NAMES[j]).alias(f"c{i}{j}") for i in d for j in d if j <= i])
-    steps = []
+        F.array(*[F.covar_pop(NAMES[i], NAMES[j]) + floor(i, j) for i in d for j in range(i + 1)]).alias("covariance"))
+    return _factored(sums, keys)
+
+
+def _factored(frame: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the inverse Cholesky factor of the `covariance`, row by row without the zeros above its diagonal, and the
+    logarithm of the determinant."""
+    d = range(len(NAMES))
+    steps, at = [], {(i, j): n for n, (i, j) in enumerate((i, j) for i in d for j in range(i + 1))}
     for i in d:
         for j in range(i + 1):
-            rest = " - ".join([f"(c{i}{j} + {FLOOR[NAMES[i]] ** 2 if i == j else 0.0}D)", *(f"l{i}{k} * l{j}{k}" for k in range(j))])
+            rest = " - ".join([f"covariance[{at[i, j]}]", *(f"l{i}{k} * l{j}{k}" for k in range(j))])
             steps.append(f"sqrt(greatest({rest}, 1e-12D)) as l{i}{i}" if i == j else f"({rest}) / l{j}{j} as l{i}{j}")
     for i in d:
         for j in range(i):
@@ -89,7 +98,7 @@ def _moments(points: DataFrame, keys: list[str]) -> DataFrame:
         steps.append(f"1 / l{i}{i} as v{i}{i}")
     out = [f"{' + '.join(f'ln(l{i}{i})' for i in d)} as determinant",
            f"array({', '.join(f'v{i}{j}' for i in d for j in range(i + 1))}) as factor"]
-    return sums.selectExpr(*keys, "mean", *steps, *out).select(*keys, "determinant", "mean", "factor")
+    return frame.selectExpr(*keys, "mean", "covariance", *steps, *out).select(*keys, "determinant", "mean", "covariance", "factor")
 
 
 def _distance(points: DataFrame) -> DataFrame:
@@ -102,25 +111,29 @@ def _distance(points: DataFrame) -> DataFrame:
     return points.withColumn("distance", F.expr(" + ".join(terms)))
 
 
+def _matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join in which null equals null."""
+    renamed = right.select(*[F.col(k).alias(f"{k}_") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"{k}_" for k in keys])
+
+
 def estimates(points: DataFrame) -> DataFrame:
-    """Minimum-covariance-determinant mean and factor for each `lang` and `source` of `points`, and of each `lang`.
+    """Minimum-covariance-determinant mean and factor for each `lang` and `source` of `points`, and of each `lang`
+    (source null and `own` false).
 
     Two starts per group, as starting with random subsets would not be repeatable: the points nearest the medians in
     units of the median deviation, and the points nearest the mean. Each step takes the SHARE of points nearest to the
     last estimate (the limit is a percentile sketch, merged from partial ones) and estimates anew; the start with the
-    smaller determinant wins. Groups under MIN_GROUP points have the estimate of their language (source null here).
-    The covariance of the subset is scaled to that of the whole at the end by the distance at its border.
+    smaller determinant wins. The covariance of the subset is scaled to that of the whole by the distance in its middle.
+    At the end the estimate of a source leans on that of its language, the less the more documents it has, without a
+    size from which it would change all at once.
     """
     both = points.select(*NAMES, F.explode(F.array(F.struct("lang", "source", F.lit(True).alias("own")),
                                                    F.struct("lang", F.lit(None).cast("string").alias("source"), F.lit(False).alias("own")))
                                            ).alias("g")).select(*NAMES, "g.*")
     group = ["lang", "source", "own"]
 
-    def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-        renamed = right.select(*[F.col(k).alias(f"{k}_") for k in keys], *[c for c in right.columns if c not in keys])
-        on = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
-        return left.join(renamed, on).drop(*[f"{k}_" for k in keys])
-
     centre = both.groupBy(*group).agg(
         F.array(*[F.percentile_approx(n, 0.5, 2000) for n in NAMES]).alias("mean"),
         F.array(*[F.percentile_approx(n, [0.25, 0.75], 2000) for n in NAMES]).alias("quartiles"))
@@ -132,38 +145,45 @@ def estimates(points: DataFrame) -> DataFrame:
     current = materialise(robust.union(plain), "estimates")
     keys = [*group, "start"]
     for _ in range(STEPS):
-        near = _distance(joined(both, current, group))
+        near = _distance(_matched(both, current.select(*keys, "mean", "factor"), group))
         limits = near.groupBy(*keys).agg(F.percentile_approx("distance", SHARE, 2000).alias("limit"))
-        inside = joined(near.drop("mean", "factor"), limits, keys).filter("distance <= limit")
-        current = materialise(_moments(inside, keys), "estimates").select(*keys, "mean", "factor", "determinant")
-    best = current.groupBy(*group).agg(F.min_by(F.struct("mean", "factor"), F.struct("determinant", "start")).alias("e")).select(
-        *group, "e.mean", "e.factor")
-    sizes = _distance(joined(both, best, group)).groupBy(*group).agg(
+        inside = _matched(near.drop("mean", "factor"), limits, keys).filter("distance <= limit")
+        current = materialise(_moments(inside, keys), "estimates")
+    best = current.groupBy(*group).agg(F.min_by(F.struct("mean", "covariance", "factor"), F.struct("determinant", "start")).alias("e")).select(
+        *group, "e.*")
+    sizes = _distance(_matched(both, best, group)).groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"), F.percentile_approx("distance", 0.5, 2000).alias("middle"))
     # The median of the chi-squared distribution of 6 degrees is 5.348; the floors must not shrink.
-    return materialise(joined(best, sizes, group).withColumn("scale", F.greatest(F.lit(1.0), F.col("middle") / 5.348)), "estimates")
+    scaled = _matched(best, sizes, group).select(*group, "n", "mean", F.transform(
+        "covariance", lambda c: c * F.greatest(F.lit(1.0), F.col("middle") / 5.348)).alias("covariance"))
+    scaled = materialise(scaled, "estimates")
+    general = scaled.where("not own").select("lang", F.struct("mean", "covariance").alias("general"))
+    share = F.when(F.col("own"), F.col("n") / (F.col("n") + LENT)).otherwise(1.0)
+    lent = lambda name: F.zip_with(name, f"general.{name}", lambda a, b: share * a + (1 - share) * b)
+    blended = _matched(scaled, general, ["lang"]).select(*group, lent("mean").alias("mean"), lent("covariance").alias("covariance"))
+    # Written first, as the factor asks for each element of the covariance many times.
+    blended = materialise(blended, "estimates")
+    return materialise(_factored(blended, group).select(*group, "mean", "factor"), "estimates")
 
 
 def fitted(rows: DataFrame) -> DataFrame:
     """The estimates for measured rows, from those that the base rules pass."""
     points = rows.filter(~_failed()).select("lang", "source", *[c.alias(n) for n, c in _transformed().items()])
-    return estimates(points)
+    return estimates(materialise(points, "points"))
 
 
 def judged(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Measured rows with base_failed, distance and kept. Needs `lang` and `source`, of which null is a value like any other."""
-    own = found.filter(f"own and n >= {MIN_GROUP}").select(
-        F.col("lang").alias("lang_"), F.col("source").alias("source_"), F.struct("mean", "factor", "scale").alias("own_"))
-    general = found.filter("not own").select(F.col("lang").alias("lang__"), F.struct("mean", "factor", "scale").alias("general_"))
-    with_own = rows.join(own, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
-    with_all = with_own.join(general, F.col("lang").eqNullSafe(F.col("lang__")), "left")
+    # A source of which no document passes the base rules has no estimate; that of its language gives the distances.
+    own = found.filter("own").select("lang", "source", F.struct("mean", "factor").alias("own_"))
+    general = found.filter("not own").select("lang", F.struct("mean", "factor").alias("general_"))
     used = F.coalesce("own_", "general_")
-    placed = with_all.withColumns({"mean": used["mean"], "factor": used["factor"], "scale": used["scale"], **_transformed()})
-    far = _distance(placed).withColumn("base_failed", _failed()).withColumn("distance", F.col("distance") / F.col("scale"))
-    # One comparison of values from both sides: a filter on it can't be taken apart and measure texts a second time.
-    limit = F.when(F.col("base_failed"), F.lit(1e300)).otherwise(F.lit(0.0))
-    return far.withColumn("kept", F.greatest(F.coalesce("distance", F.lit(0.0)), limit) <= CUTOFF).drop(
-        "lang_", "source_", "lang__", "own_", "general_", "mean", "factor", "scale", *NAMES)
+    with_both = _matched(_matched(rows, own, ["lang", "source"], "left"), general, ["lang"], "left")
+    placed = with_both.withColumns({"mean": used["mean"], "factor": used["factor"], **_transformed()})
+    far = _distance(placed).withColumn("base_failed", _failed())
+    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)
+    return far.withColumn("kept", kept).drop(
+        "own_", "general_", "mean", "factor", *NAMES)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -180,8 +200,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, unchanged. They are measured once to fit and once more to decide, so that no
-    text is written in between."""
-    found = fitted(materialise(measured(docs.select("lang", "source", "text")), "measured"))
+    """The documents that the rules keep, unchanged. Each is measured once, and written with its measures: fitting reads
+    the measures alone."""
     rows = packed(docs).select("row", F.col("row.lang").alias("lang"), F.col("row.source").alias("source"), F.col("row.text").alias("text"))
-    return unpacked(judged(measured(rows), found).filter("kept"))
+    rows = materialise(measured(rows), "measured")
+    return unpacked(judged(rows, fitted(rows)).filter("kept"))

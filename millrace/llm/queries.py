@@ -30,7 +30,7 @@ def _with(other: str, work: Callable[[DataFrame, DataFrame], DataFrame]) -> Call
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": _documents(secrets.scan),
     "op2_simhash_near_dedup": _documents(simhash.near_duplicates),
-    "op3_line_dedup": _documents(lambda docs: line_dedup.summary(docs, runs=True)),
+    "op3_line_dedup": _documents(line_dedup.summary),
     "op4_toxicity": _with("labels", toxicity.toxicity),
     "op5_token_counts": _documents(lambda docs: token_counts.token_counts(docs, PIECES)),
     "op6_sharding": _documents(sharding.shard),
@@ -49,29 +49,30 @@ def _scan_sql() -> str:
     quoted = lambda text: "'" + text.replace("'", "''") + "'"
     kinds = [(n, *k) for n, k in enumerate((*secrets.BASE, secrets.CANDIDATE))]
     found = " UNION ALL ".join(f"""
-        SELECT rid, owner, {n} AS rank, '{kind}' AS kind, {least} AS least,
+        SELECT rid, owner, repository, {n} AS rank, '{kind}' AS kind, {least} AS least,
                regexp_extract_all(text, {quoted(pattern)}, 0) AS matches,
                regexp_extract_all(text, {quoted(pattern)}, {group}) AS vals,
                string_split_regex(text, {quoted(pattern)}) AS gaps
         FROM docs WHERE regexp_matches(text, {quoted(pattern)})""" for n, kind, pattern, group, least in kinds)
     return f"""
-    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, chr(1)) AS owner FROM documents),
+    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, chr(1)) AS owner,
+                    concat_ws('/', source, lang) AS repository FROM documents),
     found AS ({found}),
-    each AS (SELECT rid, owner, rank, kind, least, unnest(matches) AS m, unnest(vals) AS v, unnest(gaps[:len(matches)]) AS g,
+    each AS (SELECT rid, owner, repository, rank, kind, least, unnest(matches) AS m, unnest(vals) AS v, unnest(gaps[:len(matches)]) AS g,
                     generate_subscripts(matches, 1) AS i FROM found),
-    placed AS (SELECT rid, owner, rank, kind, least, v,
+    placed AS (SELECT rid, owner, repository, rank, kind, least, v,
                       sum(length(g) + length(m)) OVER (PARTITION BY rid, rank ORDER BY i)::BIGINT AS stop, length(m) AS n FROM each),
-    spans AS (SELECT rid, owner, rank, kind, v, stop - n AS start, stop FROM placed WHERE length(v) >= least),
+    spans AS (SELECT rid, owner, repository, rank, kind, v, stop - n AS start, stop FROM placed WHERE length(v) >= least),
     kept AS (SELECT * FROM spans s WHERE rank < 3 OR (
                  regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') AND NOT EXISTS (
                  SELECT 1 FROM spans b WHERE b.rid = s.rid AND b.rank < 3 AND b.start < s.stop AND s.start < b.stop))),
-    held AS (SELECT v, count(DISTINCT owner) AS owners FROM kept GROUP BY v),
-    judged AS (SELECT kept.*, owners, kind || ':' || start || ':' || stop AS spelled FROM kept JOIN held USING (v)),
+    held AS (SELECT v, count(DISTINCT owner) AS n_owners, count(DISTINCT (owner, repository)) AS n_repositories FROM kept GROUP BY v),
+    judged AS (SELECT kept.*, {secrets.LIVE} AS live, {secrets.COPIED} AS copied, kind || ':' || start || ':' || stop AS spelled FROM kept JOIN held USING (v)),
     summed AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
                       count(*) FILTER (kind = 'hex') AS n_hex,
                       string_agg(spelled, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
-                      string_agg(spelled, ',' ORDER BY start, rank) FILTER (rank < 3 OR owners = 1) AS spans,
-                      count(*) FILTER (owners = 1) AS n_live, count(*) FILTER (owners >= {secrets.COPIED_OWNERS}) AS n_copied
+                      string_agg(spelled, ',' ORDER BY start, rank) FILTER (rank < 3 OR live) AS spans,
+                      count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied
                FROM judged GROUP BY rid)
     SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
            sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,

@@ -15,8 +15,11 @@ BASE = (
 )
 #: Candidates that only ownership can settle: long runs of letters and digits with a digit and both cases.
 CANDIDATE = ("owned", r"[A-Za-z0-9+/_=-]+", 0, 24)
-#: From so many owners on a value is a widely copied example.
-COPIED_OWNERS = 3
+#: From so many owners or repositories on a value is a widely copied example.
+COPIED_OWNERS, COPIED_REPOSITORIES = 3, 4
+#: A value that one owner holds in fewer repositories than that looks live.
+LIVE = f"n_owners = 1 and n_repositories < {COPIED_REPOSITORIES}"
+COPIED = f"n_owners >= {COPIED_OWNERS} or n_repositories >= {COPIED_REPOSITORIES}"
 
 
 def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -51,7 +54,9 @@ def _tight(pattern: str, group: int, least: int) -> str:
 
 
 def candidates(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """doc_id, owner, repository and `found`, all base matches and candidates of every whole text.
+    """doc_id, owner, repository, and `base` and `more`, all base matches and candidates of every whole text.
+
+    Of values only their SHA-256 goes on: nothing that is written or shuffled holds a secret in clear.
 
     The table of documents has no repositories; a source in one language stands for one, a source for the owner. A
     candidate that lies over a base match is left out.
@@ -64,8 +69,10 @@ def candidates(docs: DataFrame, owner: str = "source", repository: tuple[str, ..
     more = F.filter(_matches(text, kind, _tight(pattern, group, least), group, least),
                     lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[a-z]") & m["value"].rlike("[A-Z]"))
     found = rows.select("doc_id", "owner", "repository", base.alias("base"), more.alias("more"))
-    return found.select("doc_id", "owner", "repository", "base", F.filter(
-        "more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))).alias("more"))
+    hashed = lambda found: F.transform(found, lambda m: F.struct(
+        m["kind"].alias("kind"), m["start"].alias("start"), m["end"].alias("end"), F.sha2(m["value"], 256).alias("hash")))
+    alone = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    return found.select("doc_id", "owner", "repository", hashed(F.col("base")).alias("base"), hashed(alone).alias("more"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -75,7 +82,7 @@ def ownership(found: DataFrame) -> DataFrame:
     documents hold costs one row per task and owner.
     """
     values = found.select("owner", "repository", F.explode(F.concat("base", "more")).alias("m"))
-    each = values.groupBy(F.sha2("m.value", 256).alias("hash"), "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
+    each = values.groupBy("m.hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
     owners = each.groupBy("hash", "owner").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("repositories"))
     return owners.groupBy("hash").agg(
         F.sum("n").alias("n_occurrences"), F.sum("repositories").alias("n_repositories"), F.count(F.lit(1)).alias("n_owners"))
@@ -93,16 +100,16 @@ def scan(docs: DataFrame) -> DataFrame:
     """Secrets of every document; one row per document.
 
     n_assign, n_access, n_hex count base matches; base_sha256 is the digest of their `kind:start:end`, spans lists these
-    and the candidates that one owner alone holds. n_live counts matches whose value has a single owner, n_copied those
-    held by COPIED_OWNERS or more. Null and empty texts have no match, repeated rows stay repeated, null sources are an
+    and the candidates that look live. n_live counts matches whose value looks live, one owner alone holding it in fewer
+    than COPIED_REPOSITORIES repositories; n_copied those held by COPIED_OWNERS or in COPIED_REPOSITORIES or more. Null and empty texts have no match, repeated rows stay repeated, null sources are an
     owner of their own, an empty table gives an empty result.
     """
     found = materialise(candidates(docs).withColumn("row", F.monotonically_increasing_id()), "secrets")
     held = ownership(found)
-    each = found.select("row", F.explode(F.concat("base", "more")).alias("m")).withColumn("hash", F.sha2("m.value", 256))
+    each = found.select("row", F.explode(F.concat("base", "more")).alias("m")).withColumn("hash", F.col("m.hash"))
     judged = each.join(held, "hash").groupBy("row").agg(
-        F.count_if(F.col("n_owners") == 1).alias("n_live"), F.count_if(F.col("n_owners") >= COPIED_OWNERS).alias("n_copied"),
-        F.collect_list(F.when((F.col("m.kind") == CANDIDATE[0]) & (F.col("n_owners") == 1), F.col("m"))).alias("owned"))
+        F.count_if(F.expr(LIVE)).alias("n_live"), F.count_if(F.expr(COPIED)).alias("n_copied"),
+        F.collect_list(F.when((F.col("m.kind") == CANDIDATE[0]) & F.expr(LIVE), F.col("m"))).alias("owned"))
     rows = found.join(judged, "row", "left")
     count = lambda kind: F.size(F.filter("base", lambda m: m["kind"] == kind)).cast("bigint")
     return rows.withColumn("spans", F.concat("base", F.coalesce("owned", F.filter("base", lambda m: F.lit(False))))).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -9,10 +11,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import materialise, whole_text
 
-#: Buckets of a shard, probes of a splitter in each round, and how far a splitter may be off, as a share of a bucket.
-PARTS, PROBES, TOLERANCE = 32, 16, 0.002
+#: Least number of buckets of a shard and rows that a bucket is to hold, probes of a splitter in each round, and how far
+#: a splitter may be off, as a share of a bucket.
+PARTS, BUCKET_ROWS, PROBES, TOLERANCE = 32, 1_000_000, 16, 0.002
 LOWEST, KEYS = -(1 << 63), 1 << 63
-Position = tuple[int, int]
+#: A place in the order of rows: key, doc_id, number of the row.
+Position = tuple[int, int, int]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -27,22 +31,28 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _binned(keyed: DataFrame, probes: list[Position], *passed: str) -> DataFrame:
     """Number of probes that are not above each row, as `bin`; probes are sorted."""
-    probe_keys = np.array([k for k, _ in probes], dtype=np.int64)
-    probe_ties = np.array([t for _, t in probes], dtype=np.int64)
+    levels = [np.array([p[i] for p in probes], dtype=np.int64) for i in range(3)]
+
+    def counted(columns, low: int, high: int, level: int) -> np.ndarray:
+        """Of the probes from `low` to before `high`, which agree above this level, how many are not above each row."""
+        at, values = levels[level][low:high], columns[level]
+        if level == 2:
+            return np.searchsorted(at, values, side="right")
+        bins, meet = np.searchsorted(at, values, side="left"), np.isin(values, at)
+        for value in np.unique(values[meet]):
+            rows = values == value
+            begin, end = low + np.searchsorted(at, value, "left"), low + np.searchsorted(at, value, "right")
+            bins[rows] += counted([c[rows] for c in columns], begin, end, level + 1)
+        return bins
 
     def each(batches):
         for batch in batches:
-            key, tie = (np.asarray(batch.column(name)) for name in ("key", "tie"))
-            bins = np.searchsorted(probe_keys, key, side="left")
-            meet = np.isin(key, probe_keys)
-            for value in np.unique(key[meet]):
-                rows = key == value
-                ties = probe_ties[np.searchsorted(probe_keys, value, "left"):np.searchsorted(probe_keys, value, "right")]
-                bins[rows] += np.searchsorted(ties, tie[rows], side="right")
+            columns = [np.asarray(batch.column(name)) for name in ("key", "tie", "number")]
+            bins = counted(columns, 0, len(probes), 0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(bins, pa.int32())], names=[*passed, "bin"])
 
     kinds = dict(keyed.dtypes)
-    names = list(dict.fromkeys([*passed, "key", "tie"]))
+    names = list(dict.fromkeys([*passed, "key", "tie", "number"]))
     return keyed.select(*names).mapInArrow(each, ", ".join([*(f"{c} {kinds[c]}" for c in passed), "bin int"]))
 
 
@@ -57,16 +67,17 @@ def _below(keyed: DataFrame, probes: list[Position]) -> dict[Position, int]:
 
 
 def splitters(keyed: DataFrame, total: int, n: int) -> list[Position]:
-    """n - 1 positions (key, tie) that cut the sorted rows into n parts of equal bytes, up to TOLERANCE.
+    """n - 1 positions that cut the sorted rows into n parts of equal bytes, up to TOLERANCE.
 
     Each round counts the bytes below PROBES candidates for every open splitter, over all rows, and goes on between the
-    two nearest. Where a single key reaches over the target, the search goes on among its doc_ids, so a text that a
-    third of all rows hold is split as well; rows that agree in both stay together.
+    two nearest. Where a single key reaches over the target, the search goes on among its doc_ids, and where one of
+    these does, among the numbers of its rows. So a text that a third of all rows hold is split as well, even under a
+    single doc_id.
     """
     slack = max(1.0, TOLERANCE * total / n)
     targets = [total * i // n for i in range(1, n)]
-    low = [((0, LOWEST), 0)] * len(targets)
-    high = [((KEYS - 1, KEYS - 1), total)] * len(targets)
+    low = [((0, LOWEST, 0), 0)] * len(targets)
+    high = [((KEYS - 1, KEYS - 1, KEYS - 1), total)] * len(targets)
     chosen: list[Position | None] = [None] * len(targets)
     while None in chosen:
         probes = set()
@@ -91,16 +102,18 @@ def splitters(keyed: DataFrame, total: int, n: int) -> list[Position]:
 
 
 def _between(low: Position, high: Position) -> list[Position]:
-    """Up to PROBES positions between two others: whole keys, or doc_ids once the keys are next to each other."""
+    """Up to PROBES positions between two others: whole keys, then doc_ids once keys are next to each other, then numbers."""
+    spread = lambda a, b: [a + (b - a) * i // (PROBES + 1) for i in range(1, PROBES + 1)]
     if high[0] - low[0] > 1:
-        width = high[0] - low[0]
-        return sorted({(low[0] + width * i // (PROBES + 1), LOWEST) for i in range(1, PROBES + 1)} - {low} - {(low[0], LOWEST)})
-    top = high[1] if high[0] == low[0] else KEYS - 1
-    if high[0] != low[0] and low[1] == KEYS - 1:
-        return []
-    width = top - low[1]
-    found = {(low[0], low[1] + width * i // (PROBES + 1)) for i in range(1, PROBES + 1)}
-    return sorted(found - {low, high})
+        found = {(key, LOWEST, 0) for key in spread(low[0], high[0])}
+    else:
+        tie = high[1] if high[0] == low[0] else KEYS - 1
+        if tie - low[1] > 1:
+            found = {(low[0], t, 0) for t in spread(low[1], tie)}
+        else:
+            number = high[2] if high[:2] == low[:2] else KEYS - 1
+            found = {(*low[:2], n) for n in spread(low[2], number)}
+    return sorted(p for p in found if low < p < high)
 
 
 def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
@@ -108,22 +121,24 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
 
     Rows are sorted by text hash and doc_id; equal texts stand together and change shard only where a shard ends. Slots
     number the rows of a shard in that order without gaps. A null text counts one byte, like an empty one; rows that
-    agree in text and doc_id are numbered in any order; an empty table gives an empty result.
+    agree in text and doc_id stand in the order in which their keys were written, and are split like any others; an empty
+    table gives an empty result.
     """
-    keyed = materialise(_keyed(docs), "shard-keys")
-    total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).head()["bytes"]
-    cuts = splitters(keyed, total, shards * PARTS) if total else []
-    placed = _binned(keyed, cuts, "doc_id", "size", "text_crc32", "key", "tie").withColumnRenamed("bin", "bucket")
+    keyed = materialise(_keyed(docs).withColumn("number", F.monotonically_increasing_id()), "shard-keys")
+    whole = keyed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("rows")).head()
+    parts = max(PARTS, math.ceil(whole["rows"] / (shards * BUCKET_ROWS)))
+    cuts = splitters(keyed, whole["bytes"], shards * parts) if whole["rows"] else []
+    placed = _binned(keyed, cuts, "doc_id", "size", "text_crc32", "key", "tie", "number").withColumnRenamed("bin", "bucket")
     counts = {r["bucket"]: r["count"] for r in placed.groupBy("bucket").count().collect()}
     starts, before = [], 0
-    for bucket in range(shards * PARTS):
-        before = 0 if bucket % PARTS == 0 else before
+    for bucket in range(shards * parts):
+        before = 0 if bucket % parts == 0 else before
         starts.append((bucket, before))
         before += counts.get(bucket, 0)
-    # One row per bucket, shards * PARTS in all.
+    # One row per bucket.
     offsets = docs.sparkSession.createDataFrame(starts, "bucket int, start bigint")
-    order = Window.partitionBy("bucket").orderBy("key", "tie")
+    order = Window.partitionBy("bucket").orderBy("key", "tie", "number")
     return placed.withColumn("rank", F.row_number().over(order)).join(F.broadcast(offsets), "bucket").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
-        F.expr(f"cast(bucket div {PARTS} as int)").alias("shard"), (F.col("start") + F.col("rank") - 1).alias("slot"),
+        F.expr(f"cast(bucket div {parts} as int)").alias("shard"), (F.col("start") + F.col("rank") - 1).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))

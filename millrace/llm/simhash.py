@@ -44,8 +44,12 @@ def fingerprints(docs: DataFrame, *passed: str) -> DataFrame:
 
 
 def _variants(fps: DataFrame) -> DataFrame:
-    """Keys of a fingerprint: both halves whole (place 32), and with each of their 32 bits masked (places 0 to 31)."""
-    return fps.select("fp", F.explode(F.expr(f"""
+    """Keys of a fingerprint: both halves whole (place 32), and with each of their 32 bits masked (places 0 to 31).
+
+    The fingerprints are dealt over all tasks first, as each of them becomes 66 rows.
+    """
+    dealt = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.select("fp", F.explode(F.expr(f"""
         transform(sequence(0, 65), v -> shiftleft(cast(v as bigint), 32) |
             (if(v < 33, fp & {HALF}, shiftrightunsigned(fp, 32)) &
              if(v % 33 = 32, {HALF}, {HALF} ^ shiftleft(1L, v % 33))))""")).alias("key"))
@@ -66,6 +70,7 @@ def links(fps: DataFrame) -> DataFrame:
     joined and verified. In a bucket beyond that, members get the variants of the other half as well (one further
     masked bit, or two where the first half is whole). Whoever shares such a key differs in two given bits at most, so
     linking each to the smallest of them is enough: no pairs are enumerated, no link is lost, rows stay linear in members.
+    With more than about 7e10 distinct fingerprints the average bucket passes PAIRWISE, and members get 32 to 496 keys each.
     """
     variants = _variants(fps)
     buckets = materialise(
@@ -73,7 +78,8 @@ def links(fps: DataFrame) -> DataFrame:
         "buckets",
     )
     twos = _verified(buckets.filter("n = 2"))
-    members = materialise(variants.join(buckets.filter("n > 2").select("key", "n"), "key"), "members")
+    # Merged at every size: the list of buckets grows with the corpus, and a hot key is split by adaptive execution.
+    members = materialise(variants.join(buckets.filter("n > 2").select("key", "n").hint("merge"), "key"), "members")
     few = members.filter(f"n <= {PAIRWISE}")
     pairs = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key").filter("a < b")
     other = f"if(shiftright(key, 32) < 33, shiftrightunsigned(fp, 32), fp & {HALF})"

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import by_batch, crc32_mod, rows_by_batch, whole_text
+from millrace.llm.common import by_batch, crc32_mod, materialise, rows_by_batch, whole_text
 from millrace.llm.decontaminate import normal
 
 #: Most labelled documents that the model is fitted on, features it weighs, and documents a feature must stand in.
@@ -84,16 +84,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
     """`y` and `text` of up to `most` labelled documents outside the held-out fold, chosen by the hash of doc_id.
 
     The chosen labels number `most` rows at the most, so they are broadcast to the documents, whose texts stay where
-    they are. Repeated labels of a document count once, the larger one; null labels and ids are left out.
+    they are. Repeated labels of a document count once, the larger one; of documents that share a doc_id the text with
+    the least hash counts, once; null labels and ids are left out. So there are `most` rows at the most.
     """
     chosen = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (crc32_mod("doc_id", folds) != held)).groupBy(
         "doc_id").agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id").select("y", "text")
+    rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "y", "text")).alias("row"))
+    return one.select("row.y", "row.text")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model of `labels.toxic`; without labelled documents every sentence gets the same small score."""
-    rows = training_rows(docs, labels, "toxic", 5, 0, MAX_TRAIN)
+    rows = materialise(training_rows(docs, labels, "toxic", 5, 0, MAX_TRAIN), "training")
 
     def counted(batches):
         toxic, other = Counter(), Counter()
@@ -106,12 +109,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     counts = rows_by_batch(rows, "word string, toxic bigint, other bigint", counted).groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    # Written once: the totals and the best words are both read from there.
+    counts = materialise(counts.where(f"toxic + other >= {MIN_DOCUMENTS} or word = ''"), "words")
     totals = counts.filter("word = ''").head()  # every document counts the empty word once
     if not totals or not totals["toxic"]:
         return Model({}, np.zeros(0), -12.0)
     gain = F.expr(f"abs(ln((toxic + 0.5) / ({totals['toxic']} + 1)) - ln((other + 0.5) / ({totals['other']} + 1)))")
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
-    top = counts.filter(f"word <> '' and toxic + other >= {MIN_DOCUMENTS}").orderBy((gain / spread).desc(), "word").limit(VOCABULARY)
+    top = counts.filter("word <> ''").orderBy((gain / spread).desc(), "word").limit(VOCABULARY)
     terms = {r["word"]: i for i, r in enumerate(top.select("word").collect())}
     model = Model(terms, np.zeros(len(terms)), -6.0)
 

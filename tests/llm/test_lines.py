@@ -1,47 +1,66 @@
 import re
 
+import pytest
 from odd import ODD
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm import line_dedup
 from millrace.llm.queries import QUERIES
 
+FOLDER = "/root/testdata/sf0.001"
 LONG = " ".join(f"w{i}" for i in range(60))
 
 
-def chunks_of(lines, hashes):
-    """Chunks by the rule: a boundary after the last line, around passages, and where the rolling hash is 0."""
-    out, begin = [], 0
+def n_words(line):
+    return len([w for w in re.split("[\\x20\\x09-\\x0d]+", line) if w])
+
+
+def shortest_runs(lines):
+    """From each line that is not blank, the shortest run of lines with over 50 words: first and last, from 1."""
+    n = [*map(n_words, lines)]
+    for i in range(len(lines)):
+        last = next((j for j in range(i, len(lines)) if sum(n[i:j + 1]) > 50), None)
+        if n[i] and last is not None:
+            yield i + 1, last + 1
+
+
+def chunks_of(lines, cut):
+    """First and last line of every chunk that counts; `cut` says where the rolling hash is 0."""
+    n, found, begin = [*map(n_words, lines)], set(shortest_runs(lines)), 0
     for i in range(len(lines)):
-        passage = any(len(x.split(" ")) > 50 for x in lines[i:i + 2])
-        if i == len(lines) - 1 or passage or hashes[i] % line_dedup.EVERY == 0:
-            out.append(lines[begin:i + 1])
+        if i == len(lines) - 1 or n[i] > 50 or n[i + 1] > 50 or cut[i] and (i == 0 or not cut[i - 1]):
+            if (i > begin or n[i] > 50) and any(n[begin:i + 1]):
+                found.add((begin + 1, i + 1))
             begin = i + 1
-    return out
+    return sorted(found)
 
 
 def brute(spark, docs):
-    """What is left of each (doc_id, text), in order of doc_id; only the hashes come from Spark."""
+    """What is left of each (doc_id, text), in order of doc_id; only the rolling hashes come from Spark."""
     split = {doc: (text or "").split("\n") for doc, text in docs}
-    keys = sorted({(tuple(lines[max(0, i - 1):i + 1])) for lines in split.values() for i in range(len(lines))})
-    frame = spark.createDataFrame([(list(k),) for k in keys], "k array<string>").select(
-        "k", F.xxhash64(F.transform("k", lambda x: F.xxhash64(x))).alias("h"))
-    rolling = {tuple(row.k): row.h for row in frame.collect()}
-    seen, left = set(), {}
+    pairs = sorted({(i > 0, lines[i - 1] if i else "", line) for lines in split.values() for i, line in enumerate(lines)})
+    frame = spark.createDataFrame(pairs, "inside boolean, a string, b string").select(
+        "*", F.expr(f"pmod(xxhash64(if(inside, xxhash64(a), null), xxhash64(b)), {line_dedup.EVERY}) = 0").alias("cut"))
+    cut = {(row.inside, row.a, row.b): row.cut for row in frame.collect()}
+    first, left, found = {}, {}, {}
     for doc, lines in sorted(split.items()):
-        kept = []
-        for chunk in chunks_of(lines, [rolling[tuple(lines[max(0, i - 1):i + 1])] for i in range(len(lines))]):
-            text = "\n".join(chunk)
-            counts = (len(chunk) > 1 or len(chunk[0].split(" ")) > 50) and text.strip()
-            if counts and text in seen:
-                continue
-            seen.add(text) if counts else None
-            kept += chunk
-        left[doc] = "\n".join(kept)
+        found[doc] = chunks_of(lines, [cut[i > 0, lines[i - 1] if i else "", line] for i, line in enumerate(lines)])
+        for a, b in found[doc]:
+            first.setdefault("\n".join(lines[a - 1:b]), (doc, b))
+    for doc, lines in split.items():
+        gone = set()
+        for a, b in found[doc]:
+            place = first["\n".join(lines[a - 1:b])]
+            if place[0] != doc or a > place[1]:
+                gone |= {*range(a, b + 1)}
+        left[doc] = "\n".join(x for i, x in enumerate(lines) if i + 1 not in gone)
     return left
 
 
-def test_corpus(spark, corpus, texts):
+@pytest.mark.parametrize("bound", [line_dedup.BROADCAST_ROWS, 0])
+def test_corpus(spark, corpus, texts, monkeypatch, bound):
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", bound)
     left = {row.doc_id: row.text or "" for row in line_dedup.cleaned(corpus).collect()}
     assert left == brute(spark, list(texts.items()))
     assert any(left[doc] != text for doc, text in texts.items())
@@ -54,15 +73,17 @@ def test_corpus(spark, corpus, texts):
 
 def test_shifted_passages_go_and_the_rest_stays(spark, documents):
     block = [f"line {i} of the block" for i in range(12)]
-    docs = ["\n".join(["first", *block, "end"]), "\n".join(["a", "b", "c", *block]), f"x\n{LONG}\ny", f"{LONG}\nz", *ODD]
+    tabs = "\t".join(f"v{i}" for i in range(60))
+    docs = ["\n".join(["first", *block, "end"]), "\n".join(["a", "b", "c", *block]), f"x\n{LONG}\ny", f"{LONG}\nz", f"{tabs}\nq", f"r\n{tabs}",
+            "\n".join(["same old words"] * 60), *ODD]
     frame = documents(docs)
     cleaned = line_dedup.cleaned(frame)
     assert cleaned.columns == frame.columns and cleaned.schema == frame.schema
     rows = {row.doc_id: row for row in cleaned.collect()}
-    left = brute(spark, list(enumerate(docs)))
-    assert {doc: row.text or "" for doc, row in rows.items()} == left
-    assert rows[0].text == docs[0] and len(rows[1].text) < len(docs[1]) // 2 and rows[1].text.startswith("a\nb\nc")
-    assert rows[2].text == docs[2] and rows[3].text == "z" and rows[4].text is None
+    assert {doc: row.text or "" for doc, row in rows.items()} == brute(spark, list(enumerate(docs)))
+    assert rows[0].text == docs[0] and rows[1].text == "a\nb\nc" and rows[2].text == docs[2] and rows[3].text == "z"
+    assert rows[4].text == docs[4] and rows[5].text == "r" and rows[7].text is None
+    assert {*rows[6].text.split("\n")} == {"same old words"}
     assert all(row.n_chars == (None if row.text is None else len(row.text)) for row in rows.values())
 
 
@@ -72,24 +93,36 @@ def test_repeated_rows_and_ids(documents):
     whole = [row for row in rows if row.text == text]
     # Rows that agree in doc_id and text are one document and fare alike.
     assert len(rows) == 3 and [row.doc_id for row in whole] == [1, 1]
-    assert line_dedup.summary(documents([])).count() == 0
+    assert line_dedup.summary(documents([])).count() == 0 == line_dedup.cleaned(documents([])).count()
+    assert [row.n_removed for row in line_dedup.summary(documents([(None, None), (None, None), (2, "")])).collect()] == [0, 0, 0]
 
 
-def shortest_runs(lines):
-    """From each line that is not blank, the shortest run of lines with over 50 words: first and last, from 1."""
-    n = [len([w for w in re.split("[\\x20\\x09-\\x0d]+", line) if w]) for line in lines]
-    for i in range(len(lines)):
-        last = next((j for j in range(i, len(lines)) if sum(n[i:j + 1]) > 50), None)
-        if n[i] and last is not None:
-            yield i + 1, last + 1
+def test_lines_that_only_share_a_hash_are_left_alone(documents, monkeypatch):
+    """With a hash of two values nearly all lines collide; what is not the same line is found by its bytes."""
+    split = line_dedup._split
+    monkeypatch.setattr(line_dedup, "_split", lambda rows: split(rows).withColumn("marks", F.expr(
+        "transform(marks, (m, i) -> struct(if(lines[i] like 'once%', 7L, m.hash) as hash, m.words as words))")))
+    block = "\n".join(f"line {i} of one block" for i in range(12))
+    docs = [f"{block}\nonce a\nonce b\nonce c", f"{block}\nonce d\nonce e\nonce f", "once g\nonce h\nonce i\nonce j"]
+    left = [row.text for row in line_dedup.cleaned(documents(docs)).orderBy("doc_id").collect()]
+    assert left[0] == docs[0] and left[2] == docs[2]
+    assert left[1].endswith("once d\nonce e\nonce f") and len(left[1]) < len(docs[1]) // 2
 
 
-def test_no_repeated_run_of_lines_stays(spark, texts):
+@pytest.mark.parametrize("stage", [False, True])
+def test_no_repeated_run_of_lines_stays(spark, corpus, texts, stage):
+    """Neither in the query nor in the stage of the pipeline, which remove the same lines."""
     gone = {}
-    for row in QUERIES["op3_line_dedup"](spark, "/root/testdata/sf0.001").collect():
+    for row in QUERIES["op3_line_dedup"](spark, FOLDER).collect():
         ranges = [tuple(map(int, part.split("-"))) for part in row.removed.split(",") if part]
         gone[row.doc_id] = {n for a, b in ranges for n in range(a, b + 1)}
         assert row.n_removed == len(gone[row.doc_id])
+    if stage:
+        work = dict(corpus_pipeline.STAGES)["line dedup"]
+        for row in work(spark, corpus, FOLDER).collect():
+            lines = texts[row.doc_id].split("\n")
+            assert row.text == "\n".join(x for i, x in enumerate(lines) if i + 1 not in gone[row.doc_id])
+        return
     seen, repeats = {}, 0
     for doc, text in sorted(texts.items()):
         lines = (text or "").split("\n")
@@ -101,11 +134,3 @@ def test_no_repeated_run_of_lines_stays(spark, texts):
                 assert gone[doc] >= set(range(first, last + 1))
     left = {line for doc, text in texts.items() for n, line in enumerate((text or "").split("\n")) if n + 1 not in gone[doc]}
     assert repeats > 100 and left == {line for text in texts.values() for line in (text or "").split("\n")}
-
-
-def test_runs_of_short_lines(documents):
-    block = [f"line {i} of the block" for i in range(12)]
-    frame = documents(["\n".join(["first", *block, "end"]), "\n".join(["a", "b", "c", *block]), "\n".join(["same old words"] * 60)])
-    left = {row.doc_id: row.text for row in line_dedup.cleaned(frame, runs=True).collect()}
-    assert left[0] == "\n".join(["first", *block, "end"]) and left[1] == "a\nb\nc"
-    assert set(left[2].split("\n")) == {"same old words"}

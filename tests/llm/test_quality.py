@@ -47,7 +47,7 @@ def test_odd_texts_and_groups(documents):
 
 
 def plain_mcd(x, share, steps):
-    """The estimate for one group by sorting, from the two starts."""
+    """Mean and scaled covariance of one group by sorting, from the two starts."""
     floor = np.diag([f**2 for f in quality_rules.FLOOR.values()])
     quartile = lambda q: np.quantile(x, q, axis=0, method="inverted_cdf")
     spread = np.maximum((quartile(.75) - quartile(.25)) / 1.349, list(quality_rules.FLOOR.values()))
@@ -60,16 +60,29 @@ def plain_mcd(x, share, steps):
         found = np.linalg.slogdet(cov)[1], mean, cov
         best = found if best is None or found[0] < best[0] - 1e-9 else best
     d = ((x - best[1]) @ np.linalg.inv(best[2]) * (x - best[1])).sum(1)
-    return d / max(1.0, np.quantile(d, .5, method="inverted_cdf") / 5.348)
+    return best[1], best[2] * max(1.0, np.quantile(d, .5, method="inverted_cdf") / 5.348)
 
 
 def test_distances_equal_those_of_a_plain_computation(corpus):
-    rows = quality_rules.measured(corpus.select("doc_id", F.lit("x").alias("lang"), F.lit("y").alias("source"), "text"))
-    points = rows.where(~quality_rules._failed()).select("doc_id", *[c.alias(n) for n, c in quality_rules._transformed().items()]).toPandas()
-    points = points.sort_values("doc_id")
-    want = plain_mcd(points[quality_rules.NAMES].to_numpy(), quality_rules.SHARE, quality_rules.STEPS)
-    got = quality_rules.judged(rows, quality_rules.fitted(rows)).where("not base_failed").select("doc_id", "distance").toPandas().sort_values("doc_id")
-    assert np.allclose(got["distance"], want, rtol=1e-6)
+    """Sources of 1 to over 100 documents in two languages (one of them null), against the same blend."""
+    rank = F.col("doc_id") % 11
+    source = F.when(F.col("doc_id") == 5, "one").when(rank < 1, "few").when(rank < 4, "some").when(rank < 5, None).otherwise("most")
+    lang = F.when(F.col("doc_id") % 3 == 0, None).otherwise("x")
+    rows = quality_rules.measured(corpus.select("doc_id", lang.alias("lang"), source.alias("source"), "text"))
+    points = rows.where(~quality_rules._failed()).select(
+        "doc_id", "lang", "source", *[c.alias(n) for n, c in quality_rules._transformed().items()]).toPandas().fillna({"lang": "-", "source": "-"})
+    want, sizes = {}, []
+    for _, of_lang in points.groupby("lang"):
+        everywhere = plain_mcd(of_lang[quality_rules.NAMES].to_numpy(), quality_rules.SHARE, quality_rules.STEPS)
+        for _, group in of_lang.groupby("source"):
+            x, n = group[quality_rules.NAMES].to_numpy(), len(group)
+            own = plain_mcd(x, quality_rules.SHARE, quality_rules.STEPS)
+            mean, cov = (n / (n + quality_rules.LENT) * a + quality_rules.LENT / (n + quality_rules.LENT) * b for a, b in zip(own, everywhere))
+            want |= dict(zip(group["doc_id"], ((x - mean) @ np.linalg.inv(cov) * (x - mean)).sum(1)))
+            sizes.append(n)
+    found = quality_rules.judged(rows, quality_rules.fitted(rows)).where("not base_failed").select("doc_id", "distance").toPandas()
+    assert len(found) == len(want) == len(points) and min(sizes) == 1 and max(sizes) > 50
+    assert np.allclose(found["distance"], [want[d] for d in found["doc_id"]], rtol=1e-6)
 
 
 def test_rules_keep_good_documents(spark):
@@ -101,6 +114,17 @@ def test_held_out_labels(module, query, label, fold, least, spark):
     assert np.allclose(again.sort_values("doc_id")["score"], rows.sort_values("doc_id")["score"])
 
 
+def test_training_rows_are_bounded(spark):
+    """One doc_id on a third of the rows, in copies and in different texts, gives one training row."""
+    rows = [(7, f"text {i % 5}") for i in range(2000)] + [(i, f"own {i}") for i in range(4000)] + [(None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)] * 2 + [(7, 1), (None, 1)], "doc_id bigint, toxic int")
+    for most in (100, 10_000):
+        found = toxicity.training_rows(docs, labels, "toxic", 5, 0, most).collect()
+        assert len(found) == min(most, sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(4000)))
+        assert len({row.text for row in found}) == len(found)
+
+
 @pytest.mark.parametrize("work", [quality_model.quality, toxicity.toxicity])
 def test_models_take_odd_tables(work, documents, spark):
     empty = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")

@@ -36,6 +36,13 @@ def test_one_text_with_a_third_of_the_rows(documents):
 def test_odd_tables(documents):
     check(documents(ODD), list(enumerate(ODD)), 10**9)
     check(documents([(None, "a"), (1, None)]), [(None, "a"), (1, None)], 10)
-    rows = sharding.shard(documents([(4, "same")] * 50)).collect()
-    assert len(rows) == 50 and sorted(r.slot for r in rows) == list(range(50)) and len({r.shard for r in rows}) == 1
+    rows = check(documents([(4, "same")] * 50), [(4, "same")] * 50, 5)
+    assert sorted({r.shard for r in rows}) == list(range(8))
     assert sharding.shard(documents([])).count() == 0
+
+
+def test_one_row_repeated_a_third_of_the_time(documents):
+    """Rows that agree in doc_id and text are split like any others; so are those without doc_id."""
+    for doc in (5, None):
+        texts = [(doc, "the same text of one document")] * 1000 + [(i, f"text {i} " + "x" * (i % 20)) for i in range(10, 2010)]
+        check(documents(texts), texts, 120)
