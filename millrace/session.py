@@ -33,10 +33,13 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under `spark.checkpoint.dir`, which every executor can reach; it goes when the application ends.
 
-    Where that is not set, as in tests, folders stand in the warehouse, which all executors share as well.
+    Where that is not set, as in tests, folders stand in the warehouse; but not on a cluster, where its default is a folder
+    of the driver's machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     folder = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
