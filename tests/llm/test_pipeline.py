@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from odd import ODD
 
 import corpus_pipeline
@@ -74,10 +75,39 @@ def test_no_leak_is_lost_in_a_large_benchmark(documents, spark):
     got = {(row.doc_id, row.item_id) for row in decontaminate.leaks(docs, benchmark).collect()}
     assert {(i, i) for i in range(900)} <= got
     index = decontaminate.build_index(docs, benchmark)
+    assert np.isfinite(index.least).sum() > 500  # most items are searched for in the latent space, the rest is not lost
     for doc in [*range(0, 900, 45), 900]:
         assert {item for i, item in got if i == doc} == all_leaks(index, index.ids(texts[doc]).tolist())
 
 
+def test_short_items_and_documents_without_id(documents, spark):
+    """Items of a few words are no passages: documents that hold them stay. Rows without doc_id and repeated ones leak."""
+    texts = [(None, f"so {ITEM} it was"), (4, f"so {ITEM} it was"), (4, f"so {ITEM} it was"), (5, "the keeper counted the lanterns"), (6, None)]
+    benchmark = spark.createDataFrame([(1, ITEM), (2, "the"), (3, "the keeper counted the lanterns")], "item_id bigint, text string")
+    found = decontaminate.leaks(documents(texts), benchmark).collect()
+    assert sorted((str(row.doc_id), row.item_id) for row in found) == [("4", 1), ("4", 1), ("None", 1)]
+    assert all(row.lcs == 1.0 and row.end - row.begin >= len(ITEM.split()) for row in found)
+    assert sorted(row.doc_id for row in decontaminate.clean(documents(texts), benchmark).collect()) == [5, 6]
+
+
+def test_recall_with_many_items(spark):
+    """Stand-ins cut from documents beside the benchmark, more items than documents in the sample: recall against all pairs."""
+    docs, benchmark = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    texts = {row.doc_id: row.text for row in docs.collect()}
+    rng = random.Random(9)
+    items = [(row.item_id, row.text) for row in benchmark.collect()]
+    for text in [t for _, t in sorted(texts.items()) if len(t.split()) > 80][:400]:
+        words = text.split()
+        at = rng.randrange(len(words) - 60)
+        items.append((1000 + len(items), " ".join(w for w in words[at:at + rng.randrange(15, 60)] if rng.random() > 0.15)))
+    asked = spark.createDataFrame(items, "item_id bigint, text string")
+    few = docs.where("doc_id % 25 = 3")
+    got = {(row.doc_id, row.item_id) for row in decontaminate.leaks(few, asked).collect()}
+    index = decontaminate.read_items(asked)
+    want = {(row.doc_id, item) for row in few.collect() for item in all_leaks(index, index.ids(row.text).tolist())}
+    assert len(want) > 10 and got <= want and len(got) >= 0.95 * len(want)
+
+
 def test_subsequences_against_a_table():
     rng = random.Random(4)
     for _ in range(300):
