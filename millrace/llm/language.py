@@ -86,8 +86,8 @@ class Model:
             chunk = words[begin:begin + CHUNK]
             if len(self._rows) > KEPT_WORDS:
                 self._rows.clear()
-            if new := {*chunk} - self._rows.keys():
-                self._learn_words([*new])
+            if new := [w for w in {*chunk} if w not in self._rows]:
+                self._learn_words(new)
             total += self._sums[[*map(self._rows.__getitem__, chunk)]].sum(0)
         return total[:-1] / total[-1] + self.bias
 
