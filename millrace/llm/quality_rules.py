@@ -20,6 +20,8 @@ FLOOR = {"length": 0.05, "symbols": 0.06, "capitals": 0.05, "repeats": 0.12, "li
 #: since the statistics of short texts spread wider than those of a normal distribution.
 CUTOFF = 110.0
 NAMES = list(FLOOR)
+#: Measures of the base rules, and those that only the outliers need.
+COUNTS, MORE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), ("n_lines", "n_capitals", "n_marks")
 
 
 def measured(rows: DataFrame) -> DataFrame:
@@ -167,9 +169,14 @@ def estimates(points: DataFrame) -> DataFrame:
 
 
 def fitted(rows: DataFrame) -> DataFrame:
-    """The estimates for measured rows, from those that the base rules pass."""
-    points = rows.filter(~_failed()).select("lang", "source", *[c.alias(n) for n, c in _transformed().items()])
-    return estimates(materialise(points, "points"))
+    """The estimates for measured rows, from those that the base rules pass.
+
+    The measures are written before they are filtered: a filter on them would move below the measuring of rows that are
+    not written yet, and measure there for each of its conditions.
+    """
+    measures = materialise(rows.select("lang", "source", *COUNTS, *MORE), "points")
+    points = measures.filter(~_failed()).select("lang", "source", *[c.alias(n) for n, c in _transformed().items()])
+    return estimates(points)
 
 
 def judged(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -181,14 +188,12 @@ def judged(rows: DataFrame, found: DataFrame) -> DataFrame:
     with_both = _matched(_matched(rows, own, ["lang", "source"], "left"), general, ["lang"], "left")
     placed = with_both.withColumns({"mean": used["mean"], "factor": used["factor"], **_transformed()})
     far = _distance(placed).withColumn("base_failed", _failed())
-    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)
-    return far.withColumn("kept", kept).drop(
+    # One comparison of values from both sides: a filter on it can't be taken apart and measure texts a second time.
+    limit = F.when(F.col("base_failed"), F.lit(1e300)).otherwise(F.lit(0.0))
+    return far.withColumn("kept", F.greatest(F.coalesce("distance", F.lit(0.0)), limit) <= CUTOFF).drop(
         "own_", "general_", "mean", "factor", *NAMES)
 
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-
-
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, kept and distance of every document.
 

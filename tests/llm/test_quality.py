@@ -8,6 +8,7 @@ from odd import ODD
 from pyspark.sql import functions as F
 
 from millrace.llm import quality_model, quality_rules, toxicity
+from millrace.llm.common import materialise
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -68,7 +69,8 @@ def test_distances_equal_those_of_a_plain_computation(corpus):
     rank = F.col("doc_id") % 11
     source = F.when(F.col("doc_id") == 5, "one").when(rank < 1, "few").when(rank < 4, "some").when(rank < 5, None).otherwise("most")
     lang = F.when(F.col("doc_id") % 3 == 0, None).otherwise("x")
-    rows = quality_rules.measured(corpus.select("doc_id", lang.alias("lang"), source.alias("source"), "text"))
+    # Written first, as the query and the stage of the pipeline do.
+    rows = materialise(quality_rules.measured(corpus.select("doc_id", lang.alias("lang"), source.alias("source"), "text")), "measured")
     points = rows.where(~quality_rules._failed()).select(
         "doc_id", "lang", "source", *[c.alias(n) for n, c in quality_rules._transformed().items()]).toPandas().fillna({"lang": "-", "source": "-"})
     want, sizes = {}, []
