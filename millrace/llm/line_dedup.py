@@ -134,7 +134,8 @@ def cleaned(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
     keyed = rows.select("row", F.col("row.doc_id").cast("bigint").alias("doc_id"), F.xxhash64("row.text").alias("text_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash").eqNullSafe(F.col("gone_hash")))
-    joined = keyed.join(gone, same, "left")
+    # Merged at every size: what goes grows with the corpus.
+    joined = keyed.join(gone.hint("merge"), same, "left")
     left = F.expr("""array_join(filter(split(row.text, '\n', -1), (l, i) -> not exists(gone, g -> i + 1 between g.first and g.last)), '\n')""")
     done = joined.withColumn("text", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(left))
     changed = {"text": F.col("text")}
