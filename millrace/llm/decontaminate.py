@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,16 +15,17 @@ from pyspark.sql import functions as F
 from millrace.llm.common import by_batch, materialise, packed, rows_by_batch, unpacked, whole_text
 
 #: Words of a block; passages are two blocks, each block begins one. Least number of dimensions kept, one for each item at
-#: least; further ones used while fitting, and how much more a benchmark item counts there than another passage.
-BLOCK, RANK, EXTRA, ROUNDS, BOOST = 16, 160, 32, 2, 16.0
+#: least; further ones used while fitting, and how much more all items count there than all passages of the documents.
+BLOCK, RANK, EXTRA, ROUNDS, BOOST = 16, 160, 32, 2, 5.0
 #: Items of fewer words are no passages and never leak.
 LEAST_WORDS = 8
 #: Blocks whose words are held against the items that the latent space does not hold, at once.
 STRETCH = 64
 #: Words in more than this share of all documents (and in as many at least) have no weight in the retrieval.
 COMMON_SHARE, COMMON_DOCUMENTS = 0.05, 50
-#: So many texts at the most, distinct ones, give the passages on which the decomposition is fitted, besides all items.
-FIT_DOCUMENTS = 500
+#: Products of two weights are summed as whole multiples of 1 / UNIT, so that sums depend on no order; a task sends what
+#: it has summed from so many pairs of terms on.
+UNIT, PAIRS = 1 << 24, 1 << 19
 #: Share of an item's words, in order, that proves a leak; with the answer, fewer do.
 LCS, PARAPHRASE_LCS, ANSWER_LCS, ANSWER_SHARE = 0.75, 0.6, 0.9, 0.25
 #: A passage is a candidate for an item from so large a cosine on, and if so much of the item's weight projects on it;
@@ -94,10 +96,6 @@ def common_subsequence(mask: dict[int, int], n: int, words) -> int:
     return n - rest.bit_count()
 
 
-def _passages(ids: np.ndarray) -> list[np.ndarray]:
-    return [ids[b:b + 2 * BLOCK] for b in range(0, max(1, len(ids) - BLOCK), BLOCK)]
-
-
 def _rows(passages: list[np.ndarray], weight: np.ndarray) -> np.ndarray:
     """TF-IDF rows of unit length."""
     out = np.zeros((len(passages), len(weight)), dtype=np.float32)
@@ -117,39 +115,135 @@ def _document_frequency(tokens: DataFrame, n_terms: int) -> tuple[np.ndarray, in
     return counts, tokens.count()
 
 
-def _sample(tokens: DataFrame) -> DataFrame:
-    """`ids` of up to FIT_DOCUMENTS distinct texts, chosen by hash; a text that many rows hold counts once."""
-    keyed = tokens.select("ids", F.xxhash64("ids").alias("key"))
-    chosen = keyed.select("key").distinct().orderBy("key").limit(FIT_DOCUMENTS)
-    return keyed.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).select("ids")
+@dataclass
+class Weighed:
+    """The passages of a block of documents that have terms of some weight, all of their terms in one row after the other."""
+
+    first: np.ndarray  # number of the first passage of each document, with or without such terms
+    passage: np.ndarray  # number of each passage here
+    starts: np.ndarray  # where its terms start and end
+    ends: np.ndarray
+    term: np.ndarray  # in rising order within a passage
+    times: np.ndarray
+    norm: np.ndarray  # length of the weights of each passage
+
+
+def _weighed(weight: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> Weighed | None:
+    """The weighed passages of the documents whose ids are `flat`, each from one of the `offsets` to the next."""
+    lengths = np.diff(offsets)
+    passages = np.maximum(1, -(-lengths // BLOCK) - 1)
+    first = np.concatenate([[0], np.cumsum(passages)])
+    at = np.flatnonzero((flat >= 0) & (weight[np.maximum(flat, 0)] > 0))
+    if not len(at):
+        return None
+    doc = np.searchsorted(offsets, at, side="right") - 1
+    block = (at - offsets[doc]) // BLOCK
+    inside = np.concatenate([block < passages[doc], block > 0])
+    key = (np.concatenate([first[doc] + block, first[doc] + block - 1]) * len(weight) + np.concatenate([flat[at]] * 2))[inside]
+    key, times = np.unique(key, return_counts=True)
+    passage, term = key // len(weight), key % len(weight)
+    starts = np.flatnonzero(np.diff(passage, prepend=-1))
+    norm = np.sqrt(np.add.reduceat((times * weight[term]) ** 2, starts))
+    return Weighed(first, passage[starts], starts, np.append(starts[1:], len(passage)), term, times, norm)
+
+
+def _blocks(ids: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The ids of DOCUMENTS documents at a time in one array, and where each of them begins."""
+    for begin in range(0, len(ids), DOCUMENTS):
+        part = ids.slice(begin, DOCUMENTS)
+        offsets = part.offsets.to_numpy().astype(np.int64)
+        yield part.values.to_numpy()[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def _pairs(weight: np.ndarray, found: Weighed) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each two terms of a passage, the lower one first, their key and the product of their weights in it.
+
+    A passage has unit length. ROWS passages are taken at once; each has 2 * BLOCK terms at most.
+    """
+    for begin in range(0, len(found.starts), ROWS):
+        starts, ends = found.starts[begin:begin + ROWS], found.ends[begin:begin + ROWS]
+        term, times = (column[starts[0]:ends[-1]] for column in (found.term, found.times))
+        value = times * weight[term] / np.repeat(found.norm[begin:begin + ROWS], ends - starts)
+        after = np.repeat(ends - starts[0], ends - starts) - np.arange(len(term))
+        left = np.repeat(np.arange(len(term)), after)
+        right = left + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+        yield term[left] * len(weight) + term[right], np.rint(UNIT * value[left] * value[right]).astype(np.int64)
+
+
+def _summed(keys: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    key, part = np.concatenate(keys), np.concatenate(sums)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[starts], np.add.reduceat(part[order], starts)
 
 
-def _decompose(sample: DataFrame, index: Index, items: list[np.ndarray]) -> np.ndarray:
-    """The leading right singular vectors of the passages of `sample` and all items, by randomised subspace iteration.
+def _gram(tokens: DataFrame, index: Index) -> DataFrame:
+    """`low`, `high` and `total`: the products of each two terms summed over all passages of all documents, in units of
+    1 / UNIT, both ways round and sorted by `low`. That is the Gram matrix of the passages without its zeros.
 
-    Each round is one job: tasks multiply their passages with the basis and back and return one matrix of terms by
-    dimensions; the driver adds these and makes the basis orthogonal again.
+    Tasks sum before the shuffle. Rows grow with the pairs of benchmark terms that meet in a passage, not with documents.
+    """
+    weight, width = index.weight, len(index.terms)
+
+    def each(batches):
+        keys, sums, held = [], [], 0
+
+        def sent():
+            return pa.RecordBatch.from_arrays([pa.array(keys[0], pa.int64()), pa.array(sums[0], pa.int64())], names=["pair", "part"])
+
+        for batch in batches:
+            for flat, offsets in _blocks(batch.column(0)):
+                if (found := _weighed(weight, flat, offsets)) is None:
+                    continue
+                for key, part in _pairs(weight, found):
+                    keys.append(key)
+                    sums.append(part)
+                    held += len(key)
+                    if held > 2 * PAIRS:
+                        keys, sums = ([column] for column in _summed(keys, sums))
+                        held = len(keys[0])
+                        if held > PAIRS:
+                            yield sent()
+                            keys, sums, held = [], [], 0
+        if keys:
+            keys, sums = ([column] for column in _summed(keys, sums))
+            yield sent()
+
+    pairs = rows_by_batch(tokens.select("ids"), "pair bigint, part bigint", each).groupBy("pair").agg(F.sum("part").alias("total"))
+    ways = pairs.selectExpr("total", f"cast(pair div {width} as int) as a", f"cast(pair % {width} as int) as b").select(
+        "total", F.explode(F.expr("if(a = b, array(struct(a as low, b as high)), array(struct(a as low, b as high), struct(b as low, a as high)))")).alias("p"))
+    return ways.select("p.low", "p.high", "total").repartition("low").sortWithinPartitions("low", "high")
+
+
+def _decompose(gram: DataFrame, index: Index, items: list[np.ndarray]) -> np.ndarray:
+    """The leading right singular vectors of all passages behind `gram` and all items, by randomised subspace iteration.
+
+    Each round is one job: tasks multiply their rows of the Gram matrix with the basis, and the driver, which gets one
+    row of the product for each term, makes the basis orthogonal again. All items together count BOOST times as much as
+    all passages, however many documents there are.
     """
     rank = max(RANK, len(items))
     size = min(rank + EXTRA, len(index.terms))
     rng = np.random.default_rng(7)
     basis = np.linalg.qr(rng.standard_normal((len(index.terms), size)))[0].astype(np.float32)
-    own, weight = BOOST * _rows(items, index.weight), index.weight
+    own = _rows(items, index.weight)
+    total = gram.where("low = high").agg(F.sum("total")).first()[0]
+    share = (own**2).sum() / (BOOST * total) if total else 0.0
     projected = basis
     for _ in range(ROUNDS + 1):
         def each(batches, basis=basis):
-            out = np.zeros_like(basis)
             for batch in batches:
-                for ids in batch.column(0):
-                    passages = _passages(ids.values.to_numpy())
-                    for begin in range(0, len(passages), 256):
-                        block = _rows(passages[begin:begin + 256], weight)
-                        out += block.T @ (block @ basis)
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["part"])
-
-        projected = own.T @ (own @ basis)
-        for row in rows_by_batch(sample, "part binary", each).toLocalIterator():
-            projected = projected + np.frombuffer(row["part"], dtype=np.float32).reshape(basis.shape)
+                if batch.num_rows:
+                    low, high, total = (column.to_numpy() for column in batch.columns)
+                    starts = np.flatnonzero(np.diff(low, prepend=-1))
+                    part = np.add.reduceat((total * share).astype(np.float32)[:, None] * basis[high], starts)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(low[starts], pa.int32()), pa.array([row.tobytes() for row in part], pa.binary())], names=["term", "part"])
+
+        projected = (own.T @ (own @ basis)).astype(np.float64)
+        for row in rows_by_batch(gram, "term int, part binary", each).collect():  # a few rows for each benchmark term
+            projected[row["term"]] += np.frombuffer(row["part"], dtype=np.float32)
         before, basis = basis, np.linalg.qr(projected)[0].astype(np.float32)
     # projected is the Gram matrix times the last but one basis; its small part there gives the order of directions.
     _, turned = np.linalg.eigh(before.T @ projected)
@@ -181,14 +275,14 @@ def tokens_of(index: Index, rows: DataFrame, *passed: str) -> DataFrame:
 
 
 def fit(index: Index, tokens: DataFrame) -> Index:
-    """Weights from all documents, and the latent space of the items and of passages of a sample."""
+    """Weights and latent space from all documents and all items."""
     if not index.items:
         return index
     counts, n = _document_frequency(tokens, len(index.terms))
     common = counts > max(COMMON_SHARE * n, COMMON_DOCUMENTS)
     index.weight = np.where(common, 0, np.log((n + 2) / (counts + 1))).astype(np.float32)
     own = [np.array(ids, dtype=np.int32) for _, ids in index.items]
-    basis = _decompose(materialise(_sample(tokens), "sample"), index, own)
+    basis = _decompose(materialise(_gram(tokens, index), "gram"), index, own)
     index.latent = (basis * index.weight[:, None]).astype(np.float32)
     whole, weighed, found = [], [], []
     for ids in own:
@@ -221,21 +315,10 @@ def _near(index: Index, flat: np.ndarray, offsets: np.ndarray) -> dict[int, dict
     `flat` holds the ids of all words, `offsets` where each document begins. A passage meets all items in one product of
     its latent vector with theirs; passages whose whole weight is too small for any item are left out before.
     """
-    n_docs, lengths = len(offsets) - 1, np.diff(offsets)
-    passages = np.maximum(1, -(-lengths // BLOCK) - 1)
-    first = np.concatenate([[0], np.cumsum(passages)])
-    at = np.flatnonzero((flat >= 0) & (index.weight[np.maximum(flat, 0)] > 0))
-    if not len(at):
+    found = _weighed(index.weight, flat, offsets)
+    if found is None:
         return {}
-    doc = np.searchsorted(offsets, at, side="right") - 1
-    block = (at - offsets[doc]) // BLOCK
-    inside = np.concatenate([block < passages[doc], block > 0])
-    key = (np.concatenate([first[doc] + block, first[doc] + block - 1]) * len(index.weight) + np.concatenate([flat[at]] * 2))[inside]
-    key, times = np.unique(key, return_counts=True)
-    passage, term = key // len(index.weight), key % len(index.weight)
-    starts = np.flatnonzero(np.diff(passage, prepend=-1))
-    rows, ends = passage[starts], np.append(starts[1:], len(passage))
-    norm = np.sqrt(np.add.reduceat((times * index.weight[term]) ** 2, starts))
+    first, starts, ends, term, times, norm = found.first, found.starts, found.ends, found.term, found.times, found.norm
     # A projection is no longer than the passage: the item with the least claim decides.
     claim = np.nanmin(index.least / np.maximum(np.linalg.norm(index.vectors, axis=1), 1e-9))
     out: dict[int, dict[int, list]] = {}
@@ -247,7 +330,7 @@ def _near(index: Index, flat: np.ndarray, offsets: np.ndarray) -> dict[int, dict
         latent = np.add.reduceat(times[where, None] * index.latent[term[where]], np.cumsum(sizes) - sizes, axis=0).astype(np.float32)
         dots = latent @ index.vectors.T
         for row, item in zip(*np.nonzero((dots >= index.least) & (dots >= norm[part, None] * index.cosines))):
-            number = int(rows[part[row]])
+            number = int(found.passage[part[row]])
             owner = int(np.searchsorted(first, number, side="right") - 1)
             cosine = float(dots[row, item] / (norm[part[row]] * np.linalg.norm(index.vectors[item])))
             out.setdefault(owner, {}).setdefault(int(item), []).append((number - int(first[owner]), cosine))
@@ -304,12 +387,7 @@ def leaks_of_batch(index: Index, ids: pa.Array) -> list[list[Leak]]:
     """`leaks_of` the documents of an Arrow column of ids, DOCUMENTS at a time."""
     if not index.items:
         return [[] for _ in range(len(ids))]
-    out = []
-    for begin in range(0, len(ids), DOCUMENTS):
-        part = ids.slice(begin, DOCUMENTS)
-        offsets = part.offsets.to_numpy().astype(np.int64)
-        out += leaks_of(index, part.values.to_numpy()[offsets[0]:offsets[-1]], offsets - offsets[0])
-    return out
+    return [found for flat, offsets in _blocks(ids) for found in leaks_of(index, flat, offsets)]
 
 
 def _leak(index: Index, ids: np.ndarray, item: int, first: int, last: int, cosine: float | None) -> Leak | None:

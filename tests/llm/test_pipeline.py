@@ -108,6 +108,35 @@ def test_recall_with_many_items(spark):
     assert len(want) > 10 and got <= want and len(got) >= 0.95 * len(want)
 
 
+def passage_vectors(index, texts):
+    """Unit TF-IDF rows of all passages of all texts, one passage at a time."""
+    block, out = decontaminate.BLOCK, []
+    for ids in map(index.ids, texts):
+        for begin in range(0, max(1, len(ids) - block), block):
+            row = np.zeros(len(index.terms))
+            for term in ids[begin:begin + 2 * block]:
+                if term >= 0:
+                    row[term] += index.weight[term]
+            if row.any():
+                out.append(row / np.linalg.norm(row))
+    return np.array(out)
+
+
+def test_the_latent_space_is_that_of_all_documents(spark):
+    """The space holds as much of all passages and items as their best one does, and repeated texts count each time."""
+    docs, benchmark = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    docs = docs.union(docs.where("doc_id < 30"))
+    index = decontaminate.build_index(docs, benchmark)
+    rows = passage_vectors(index, [row.text or "" for row in docs.collect()])
+    own = decontaminate._rows([np.array(ids, dtype=np.int32) for _, ids in index.items], index.weight)
+    want = rows.T @ rows * (len(own) / (5 * len(rows))) + own.T @ own
+    weight = np.where(index.weight > 0, index.weight, 1)[:, None]
+    basis = np.linalg.qr(index.latent / weight)[0]
+    best = np.linalg.eigvalsh(want)[::-1][:basis.shape[1]].sum()
+    assert len(index.terms) > 2 * basis.shape[1]  # a space of all terms would hold everything
+    assert np.trace(basis.T @ want @ basis) >= 0.995 * best
+
+
 def test_subsequences_against_a_table():
     rng = random.Random(4)
     for _ in range(300):
