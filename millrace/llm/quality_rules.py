@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WORD_GAP, materialise, packed, unpacked
@@ -14,6 +14,8 @@ SYMBOLS = "#*$%&|<>"
 SHARE, STEPS = 0.75, 4
 #: The estimate of a language and source with n documents counts n / (n + LENT), that of the language the rest.
 LENT = 50
+#: Parts that a range of values is cut into to count them, and how many rows of a part are counted value by value.
+CELLS, LISTED = 1024, 10_000
 #: Least standard deviation of each transformed statistic: closer values count as equal.
 FLOOR = {"length": 0.05, "symbols": 0.06, "capitals": 0.05, "repeats": 0.12, "lines": 0.15, "marks": 0.04}
 #: A document is an outlier beyond this squared distance: the chi-squared quantile of 6 degrees at 1 - 1e-9, doubled,
@@ -107,8 +109,8 @@ def _distance(points: DataFrame) -> DataFrame:
     """The squared Mahalanobis distance of each point to the `mean` and inverse `factor` beside it."""
     terms, at = [], 0
     for i in range(len(NAMES)):
-        parts = [f"factor[{at + k}] * ({NAMES[k]} - mean[{k}])" for k in range(i + 1)]
-        terms.append(f"power({' + '.join(parts)}, 2)")
+        part = " + ".join(f"factor[{at + k}] * ({NAMES[k]} - mean[{k}])" for k in range(i + 1))
+        terms.append(f"({part}) * ({part})")
         at += i + 1
     return points.withColumn("distance", F.expr(" + ".join(terms)))
 
@@ -120,14 +122,47 @@ def _matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
     return left.join(renamed, on, how).drop(*[f"{k}_" for k in keys])
 
 
+def _holding(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Of the counted `cells` of each group the one in which the place `rank` lies, with the place within it."""
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return cells.withColumn("upto", upto).where("rank > upto - n and rank <= upto").select(
+        *keys, "total", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "n", "low", "high")
+
+
+def percentiles(values: DataFrame, keys: list[str], shares: list[float]) -> DataFrame:
+    """`keys`, `share`, `value` and `total`: for each group of `keys` and each share the least `value` that so large a share
+    of the group does not exceed, and the rows of the group. No value may be negative.
+
+    All rows are counted, and the result is one of them, however they are dealt. The cells of a logarithmic grid are
+    counted first, with partial aggregates; then the values of the one cell that holds the place, or parts of it as long
+    as it has more than LISTED rows. What meets in a task grows with the cells and not with the rows. The driver sees
+    one number a round.
+    """
+    counts = [F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
+    cells = values.groupBy(*keys, F.floor(CELLS * F.log2(1 + CELLS * F.col("value"))).alias("cell")).agg(*counts)
+    cells = cells.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
+    cells = cells.withColumn("share", F.explode(F.array(*map(F.lit, shares)))).withColumn("rank", F.ceil(F.col("share") * F.col("total")))
+    by_share = [*keys, "share"]
+    found = materialise(_holding(cells, by_share), "percentiles")
+    while most := found.where("low < high").agg(F.max("n")).first()[0]:
+        inside = _matched(values, found.drop("n"), keys).where("value >= low and value <= high")
+        part = "value" if most <= LISTED else f"coalesce(floor((value - low) / nullif(high - low, 0D) * {CELLS}), 0)"
+        cells = inside.groupBy(*by_share, "total", "rank", F.expr(part).alias("cell")).agg(*counts)
+        found = _holding(cells, by_share)
+        if most <= LISTED:
+            break
+        found = materialise(found, "percentiles")
+    return found.select(*by_share, F.col("low").alias("value"), "total")
+
+
 def estimates(points: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant mean and factor for each `lang` and `source` of `points`, and of each `lang`
     (source null and `own` false).
 
     Two starts per group, as starting with random subsets would not be repeatable: the points nearest the medians in
     units of the median deviation, and the points nearest the mean. Each step takes the SHARE of points nearest to the
-    last estimate (the limit is a percentile sketch, merged from partial ones) and estimates anew; the start with the
-    smaller determinant wins. The covariance of the subset is scaled to that of the whole by the distance in its middle.
+    last estimate (the limit is the exact percentile of all of them) and estimates anew; the start with the smaller
+    determinant wins. The covariance of the subset is scaled to that of the whole by the distance in its middle.
     At the end the estimate of a source leans on that of its language, the less the more documents it has, without a
     size from which it would change all at once.
     """
@@ -136,25 +171,26 @@ def estimates(points: DataFrame) -> DataFrame:
                                            ).alias("g")).select(*NAMES, "g.*")
     group = ["lang", "source", "own"]
 
-    centre = both.groupBy(*group).agg(
-        F.array(*[F.percentile_approx(n, 0.5, 2000) for n in NAMES]).alias("mean"),
-        F.array(*[F.percentile_approx(n, [0.25, 0.75], 2000) for n in NAMES]).alias("quartiles"))
+    named = both.select(*group, F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in NAMES])).alias("v"))
+    centre = percentiles(named.select(*group, "v.*"), [*group, "name"], [0.25, 0.5, 0.75]).groupBy(*group).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("name", "share"), "value"))).alias("at"))
+    at = lambda i, share: F.col("at")[F.struct(F.lit(NAMES[i]), F.lit(share))]
     d = range(len(NAMES))
-    robust = centre.select(*group, F.lit("median").alias("start"), "mean", F.array(*[
-        1 / F.greatest((F.col("quartiles")[i][1] - F.col("quartiles")[i][0]) / 1.349, F.lit(FLOOR[NAMES[i]])) if i == j else F.lit(0.0)
+    robust = centre.select(*group, F.lit("median").alias("start"), F.array(*[at(i, 0.5) for i in d]).alias("mean"), F.array(*[
+        1 / F.greatest((at(i, 0.75) - at(i, 0.25)) / 1.349, F.lit(FLOOR[NAMES[i]])) if i == j else F.lit(0.0)
         for i in d for j in range(i + 1)]).alias("factor"))
     plain = _moments(both, group).select(*group, F.lit("mean").alias("start"), "mean", "factor")
     current = materialise(robust.union(plain), "estimates")
     keys = [*group, "start"]
     for _ in range(STEPS):
         near = _distance(_matched(both, current.select(*keys, "mean", "factor"), group))
-        limits = near.groupBy(*keys).agg(F.percentile_approx("distance", SHARE, 2000).alias("limit"))
+        limits = percentiles(near.select(*keys, F.col("distance").alias("value")), keys, [SHARE]).select(*keys, F.col("value").alias("limit"))
         inside = _matched(near.drop("mean", "factor"), limits, keys).filter("distance <= limit")
         current = materialise(_moments(inside, keys), "estimates")
     best = current.groupBy(*group).agg(F.min_by(F.struct("mean", "covariance", "factor"), F.struct("determinant", "start")).alias("e")).select(
         *group, "e.*")
-    sizes = _distance(_matched(both, best, group)).groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("distance", 0.5, 2000).alias("middle"))
+    sizes = percentiles(_distance(_matched(both, best, group)).select(*group, F.col("distance").alias("value")), group, [0.5]).select(
+        *group, F.col("total").alias("n"), F.col("value").alias("middle"))
     # The median of the chi-squared distribution of 6 degrees is 5.348; the floors must not shrink.
     scaled = _matched(best, sizes, group).select(*group, "n", "mean", F.transform(
         "covariance", lambda c: c * F.greatest(F.lit(1.0), F.col("middle") / 5.348)).alias("covariance"))

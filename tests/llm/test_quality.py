@@ -87,6 +87,40 @@ def test_distances_equal_those_of_a_plain_computation(corpus):
     assert np.allclose(found["distance"], [want[d] for d in found["doc_id"]], rtol=1e-6)
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """60,000 points of one source, more than a sketch of their percentiles holds."""
+    part = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << 30)) / (1 << 30)
+    points = spark.range(60_000).select(F.lit("x").alias("lang"), F.lit(None).cast("string").alias("source"), *[
+        (3 * least * part(i) * part(i)).alias(name) for i, (name, least) in enumerate(quality_rules.FLOOR.items())])
+    return materialise(points, "many")
+
+
+def test_estimates_rest_on_all_points_of_large_groups(many):
+    """Medians, quartiles and limits are those of every point: a plain computation by sorting, however rows are dealt."""
+    mean, cov = plain_mcd(many.select(*quality_rules.NAMES).toPandas().to_numpy(), quality_rules.SHARE, quality_rules.STEPS)
+    for dealt in (many, many.repartition(13)):
+        found = quality_rules.estimates(dealt).where("own").first()
+        assert np.allclose(found["mean"], mean, rtol=1e-9)
+        factor = np.zeros((6, 6))
+        factor[np.tril_indices(6)] = found["factor"]
+        assert np.allclose(factor.T @ factor, np.linalg.inv(cov), rtol=1e-6, atol=1e-6)
+
+
+@pytest.mark.parametrize("listed", [0, 100, 10_000])
+def test_percentiles_are_values_at_their_exact_place(spark, monkeypatch, listed):
+    """Ties, single rows, null keys, values apart by one bit, and cells that have to be cut again and again."""
+    monkeypatch.setattr(quality_rules, "LISTED", listed)
+    rng = np.random.default_rng(3)
+    groups = {"one": [2.5], "ties": [0.0] * 900 + [1.0] * 100 + [1.5], None: list(rng.random(3000) ** 8),
+              "close": list(np.nextafter(1.0, 2.0, dtype=float) * np.ones(500)) + [1.0] * 500 + [np.nextafter(1.0, 0.0)],
+              "wide": list(10.0 ** rng.uniform(-12, 12, 2000)), "tight": list(7 + rng.random(2000) * 1e-9)}
+    rows = spark.createDataFrame([(k, float(v)) for k, values in groups.items() for v in values], "g string, value double")
+    shares = [0.25, 0.5, 0.75]
+    found = {(r.g, r.share): (r.value, r.total) for r in quality_rules.percentiles(rows.repartition(5), ["g"], shares).collect()}
+    assert found == {(k, q): (np.quantile(v, q, method="inverted_cdf"), len(v)) for k, v in groups.items() for q in shares}
+
+
 def test_rules_keep_good_documents(spark):
     docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
     found = quality_rules.quality_rules(docs).join(labels, "doc_id").where("not base_failed")
