@@ -106,13 +106,16 @@ def _factored(frame: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _distance(points: DataFrame) -> DataFrame:
-    """The squared Mahalanobis distance of each point to the `mean` and inverse `factor` beside it."""
+    """The squared Mahalanobis distance of each point to the `mean` and inverse `factor` beside it.
+
+    It goes through a generator: filters on it would copy it, which makes code that is too long to be compiled.
+    """
     terms, at = [], 0
     for i in range(len(NAMES)):
         part = " + ".join(f"factor[{at + k}] * ({NAMES[k]} - mean[{k}])" for k in range(i + 1))
-        terms.append(f"({part}) * ({part})")
+        terms.append(f"power({part}, 2)")
         at += i + 1
-    return points.withColumn("distance", F.expr(" + ".join(terms)))
+    return points.select("*", F.explode(F.array(F.expr(" + ".join(terms)))).alias("distance"))
 
 
 def _matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -184,7 +187,9 @@ def estimates(points: DataFrame) -> DataFrame:
     keys = [*group, "start"]
     for _ in range(STEPS):
         near = _distance(_matched(both, current.select(*keys, "mean", "factor"), group))
-        limits = percentiles(near.select(*keys, F.col("distance").alias("value")), keys, [SHARE]).select(*keys, F.col("value").alias("limit"))
+        limits = percentiles(near.select(*keys, F.col("distance").alias("value")), keys, [SHARE])
+        # Written first: a list of known size is sent to the points, which would be shuffled by group to meet it otherwise.
+        limits = materialise(limits.select(*keys, F.col("value").alias("limit")), "estimates")
         inside = _matched(near.drop("mean", "factor"), limits, keys).filter("distance <= limit")
         current = materialise(_moments(inside, keys), "estimates")
     best = current.groupBy(*group).agg(F.min_by(F.struct("mean", "covariance", "factor"), F.struct("determinant", "start")).alias("e")).select(
