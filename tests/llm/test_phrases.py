@@ -53,6 +53,33 @@ def test_against_counting_everything(spark, documents, monkeypatch, bound):
     assert phrases.phrases(documents([])).count() == 0 == phrases.phrases(documents(ODD[:4])).count()
 
 
+def test_occurrences_stay_with_their_documents(spark, documents, monkeypatch):
+    """However long the lists of frequent hashes are, occurrences are not shuffled to them and back."""
+    monkeypatch.setattr(phrases, "BROADCAST_ROWS", 0)
+    plans, persisted = [], phrases._persisted
+    monkeypatch.setattr(phrases, "_persisted", lambda rows, *rest: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or persisted(rows, *rest))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before, texts = spark.conf.get(threshold), drawn(120)
+    spark.conf.set(threshold, "-1")
+    try:
+        assert sorted(map(tuple, phrases.phrases(documents(texts)).collect())) == brute([(t, "en") for t in texts])
+    finally:
+        spark.conf.set(threshold, before)
+    assert [(plan.count("REPARTITION"), plan.count("SortMergeJoin")) for plan in plans] == [(1, 0), (0, 1)]
+
+
+@pytest.mark.parametrize("most, others", [(phrases.MOST_BITS, 1 / 8), (1 << 15, 1)])
+def test_bits_keep_all_of_a_long_list(spark, monkeypatch, most, others):
+    monkeypatch.setattr(phrases, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(phrases, "MOST_BITS", most)
+    rows = spark.range(60_000).selectExpr("id", "xxhash64(id) AS w1").cache()
+    wanted = rows.where("id % 6 = 0").select("w1")
+    left = phrases._among(rows, "w1", wanted)
+    assert left.where("id % 6 = 0").count() == 10_000
+    assert 0 < left.where("id % 6 > 0").count() / 50_000 < others
+    rows.unpersist()
+
+
 def test_words_with_one_hash_get_another_seed(spark):
     words = spark.createDataFrame([("en", "a", 1), ("en", "b", 1)], "lang string, word string, f bigint")
     assert words.select(phrases._numbered(words).alias("w")).distinct().count() == 2
